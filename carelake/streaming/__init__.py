@@ -1,0 +1 @@
+"""Empty on purpose: every capability this package covers is a batch job."""
