@@ -23,6 +23,7 @@ def local_session(cpus: int = 8, memory: str = "8g", **extra: str) -> SparkSessi
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("carelake")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(cpus))
     )

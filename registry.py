@@ -10,14 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelake.core import Core
-from carelake.operators import audits
+from carelake.operators import audits, claims, commands, fraud, hospitals, patients, pharmacy, views
 from carelake.operators.load import load_all, validated_load
 from carelake.plans.session import shared_folder
 from carelake.schemas import BY_NAME, TABLES
-from carelake.sources.driver_tables import driver_core
+from carelake.sources.command_batches import batch, dispense_commands
+from carelake.sources.driver_tables import AS_OF, driver_core
 from carelake.sources.staging import partly_loaded, staged_table
 from carelake.sources.store import CoreStore
-from oracle import loads
+from oracle import commands as command_sql
+from oracle import loads, reports
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,8 +77,85 @@ def pending_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audits.pending(staging, store.core())
 
 
+# Reports over the clean domain tables, with the fixed driver parameters.
+REPORTS: dict[str, Callable[[Core], DataFrame]] = {
+    "vw_visit_detail": views.visit_detail,
+    "vw_inventory_alert": lambda core: views.inventory_alert(core, AS_OF),
+    "vw_claim_summary": views.claim_summary,
+    "vw_icu_occupancy_rate": views.icu_occupancy_rate,
+    "patient_by_national_id": lambda core: patients.patient_by_national_id(core, 28000000000006, AS_OF),
+    "patient_visit_history": lambda core: patients.patient_visit_history(core, "PAT000007"),
+    "patient_prescription_history": lambda core: patients.patient_prescription_history(core, "PAT000007"),
+    "high_risk_patients": lambda core: patients.high_risk_patients(core, AS_OF),
+    "hospital_capacity": hospitals.hospital_capacity,
+    "icu_alerts": hospitals.icu_alerts,
+    "doctor_workload": lambda core: hospitals.doctor_workload(core, AS_OF),
+    "doctor_workload_h016": lambda core: hospitals.doctor_workload(core, AS_OF, "H016"),
+    "referral_summary": lambda core: hospitals.referral_summary(core, AS_OF),
+    "low_stock": pharmacy.low_stock,
+    "low_stock_h016": lambda core: pharmacy.low_stock(core, "H016"),
+    "expiring_soon": lambda core: pharmacy.expiring_soon(core, AS_OF),
+    "expiring_soon_h016": lambda core: pharmacy.expiring_soon(core, AS_OF, hospital_id="H016"),
+    "drug_consumption": lambda core: pharmacy.drug_consumption(core, AS_OF),
+    "drug_consumption_h016": lambda core: pharmacy.drug_consumption(core, AS_OF, "H016"),
+    "claims_by_status": lambda core: claims.claims_by_status(core, AS_OF),
+    "claims_by_status_rejected": lambda core: claims.claims_by_status(core, AS_OF, "rejected"),
+    "claims_by_status_h016": lambda core: claims.claims_by_status(core, AS_OF, hospital_id="h016"),
+    "rejection_reasons": lambda core: claims.rejection_reasons(core, AS_OF),
+    "inflated_procedures": fraud.inflated_procedures,
+    "dispensed_without_rx": lambda core: fraud.dispensed_without_prescription(core, AS_OF),
+    "duplicate_claims": lambda core: fraud.duplicate_claims(core, core["stg_claim_dup"]),
+    "abnormal_rx_quantity": fraud.abnormal_rx_quantity,
+    "fraud_summary_by_doctor": fraud.fraud_summary_by_doctor,
+    "monthly_visits": hospitals.monthly_visits,
+    "monthly_visits_h016": lambda core: hospitals.monthly_visits(core, "H016"),
+    "hospital_performance": hospitals.hospital_performance,
+    "top_diagnoses": hospitals.top_diagnoses,
+    "top_diagnoses_h016": lambda core: hospitals.top_diagnoses(core, hospital_id="H016"),
+}
+
+
+def register(core: Core) -> commands.Outcome:
+    return commands.register_visits(core, batch(core, "register_commands"), AS_OF)
+
+
+def dispense(core: Core) -> commands.Outcome:
+    return commands.dispense(core, dispense_commands(core), AS_OF)
+
+
+def submit(core: Core) -> commands.Outcome:
+    return commands.submit_claims(core, batch(core, "submit_commands"), AS_OF)
+
+
+def review(core: Core) -> commands.Outcome:
+    core = core.replaced(claim_approval=batch(core, "reviews_so_far"))
+    return commands.review_claims(core, batch(core, "review_commands"), AS_OF)
+
+
+def decisions(outcome: commands.Outcome) -> DataFrame:
+    return outcome.decisions.withColumn("reasons", F.array_join("reasons", ","))
+
+
+COMMANDS: dict[str, Callable[[Core], DataFrame]] = {
+    "cmd_register_visits": lambda core: decisions(register(core)),
+    "cmd_dispense": lambda core: decisions(dispense(core)),
+    "cmd_dispense_inventory": lambda core: dispense(core).tables["drug_inventory"],
+    "cmd_submit_claims": lambda core: decisions(submit(core)),
+    "cmd_submit_claim_items": lambda core: submit(core).tables["claim_item"],
+    "cmd_review_decisions": lambda core: decisions(review(core)),
+    "cmd_review_claims": lambda core: review(core).tables["claim"].select(
+        "claim_id", "claim_status", "approved_amount"
+    ),
+    "cmd_review_approvals": lambda core: review(core).tables["claim_approval"],
+}
+
+
+def report_query(name: str) -> Query:
+    return lambda spark, sf_dir: {**REPORTS, **COMMANDS}[name](driver_core(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
-    found: dict[str, Query] = {}
+    found: dict[str, Query] = {name: report_query(name) for name in (*REPORTS, *COMMANDS)}
     found.update({f"load_{t.name}": load_query(t.name) for t in TABLES})
     found.update({f"quarantine_{t.name}": quarantine_query(t.name) for t in TABLES})
     found["load_all"] = load_all_query
@@ -87,7 +166,7 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    found: dict[str, str] = {}
+    found: dict[str, str] = {**reports.sql(), **command_sql.sql()}
     found.update({f"load_{t.name}": loads.accepted_sql(t.name) for t in TABLES})
     found.update({f"quarantine_{t.name}": loads.quarantine_sql(t.name) for t in TABLES})
     found["load_all"] = loads.load_all_sql()
