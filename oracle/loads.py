@@ -146,3 +146,18 @@ def errors_sql(moment: str) -> str:
         f" TIMESTAMP '{moment}' AS first_error, TIMESTAMP '{moment}' AS last_error"
         " FROM {judged} WHERE reasons <> '' HAVING count(*) > 0"
     )
+
+
+def staged_sql(name: str) -> str:
+    return with_views(f"SELECT * FROM {{stg_{name}}}", {f"stg_{name}": staged_text(BY_NAME[name])})
+
+
+def ingest_csv_sql() -> str:
+    parts = []
+    for t in TABLES:
+        width = " + ".join(f"coalesce(length({c}), 0)" for c in t.column_names)
+        parts.append(
+            f"SELECT 'stg.{t.name}' AS stg_table, count(*) AS row_count, CAST(sum({width}) AS BIGINT) AS characters"
+            f" FROM {{stg_{t.name}}}"
+        )
+    return with_views("\nUNION ALL\n".join(parts), {f"stg_{t.name}": staged_text(t) for t in TABLES})

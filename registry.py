@@ -18,6 +18,7 @@ from carelake.sources.command_batches import batch, dispense_commands
 from carelake.sources.driver_tables import AS_OF, driver_core
 from carelake.sources.staging import partly_loaded, staged_table
 from carelake.sources.store import CoreStore
+from carelake.sources.text_files import read_csv, read_tsv, readable, write_delimited
 from oracle import commands as command_sql
 from oracle import loads, reports
 
@@ -59,6 +60,34 @@ def loaded_store(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame]
     return staging, _loaded[where]
 
 
+def delivered(core: Core, name: str, sep: str, quoted: bool) -> str:
+    """The staged rows of a table written out as text files; returns their folder."""
+    path = f"{shared_folder(core.spark)}/carelake/files-{name}-{uuid.uuid4().hex}"
+    write_delimited(staged_table(core, name), path, sep, quoted)
+    return path
+
+
+def ingest_csv_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every table delivered as CSV and read back: rows and characters per staging table."""
+    core = driver_core(spark, sf_dir)
+    parts = []
+    for table in TABLES:
+        staged = readable(read_csv(spark, delivered(core, table.name, ",", True), table, LOAD_TIME))
+        width = sum((F.coalesce(F.length(c), F.lit(0)) for c in table.column_names), F.lit(0))
+        parts.append(
+            staged.groupBy().agg(F.count(F.lit(1)).alias("row_count"), F.sum(width).alias("characters")).select(
+                F.lit(f"stg.{table.name}").alias("stg_table"), "row_count", "characters"
+            )
+        )
+    return audits.union(parts)
+
+
+def ingest_tsv_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    core, table = driver_core(spark, sf_dir), BY_NAME["patient"]
+    staged = readable(read_tsv(spark, delivered(core, "patient", "\t", False), table, LOAD_TIME))
+    return staged.select(*table.column_names)
+
+
 def load_all_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     staging, store = loaded_store(spark, sf_dir)
     return audits.load_summary(staging, store.core(), store.error_log())
@@ -158,6 +187,8 @@ def queries() -> dict[str, Query]:
     found: dict[str, Query] = {name: report_query(name) for name in (*REPORTS, *COMMANDS)}
     found.update({f"load_{t.name}": load_query(t.name) for t in TABLES})
     found.update({f"quarantine_{t.name}": quarantine_query(t.name) for t in TABLES})
+    found["ingest_csv"] = ingest_csv_query
+    found["ingest_tsv"] = ingest_tsv_query
     found["load_all"] = load_all_query
     found["audit_row_counts"] = row_counts_query
     found["audit_errors"] = errors_query
@@ -169,6 +200,8 @@ def oracle_sql() -> dict[str, str]:
     found: dict[str, str] = {**reports.sql(), **command_sql.sql()}
     found.update({f"load_{t.name}": loads.accepted_sql(t.name) for t in TABLES})
     found.update({f"quarantine_{t.name}": loads.quarantine_sql(t.name) for t in TABLES})
+    found["ingest_csv"] = loads.ingest_csv_sql()
+    found["ingest_tsv"] = loads.staged_sql("patient")
     found["load_all"] = loads.load_all_sql()
     found["audit_row_counts"] = loads.row_counts_sql()
     found["audit_errors"] = loads.errors_sql(str(LOAD_TIME))
