@@ -89,9 +89,8 @@ def round_decisions(commands: DataFrame) -> DataFrame:
         F.array().cast("array<struct<below:bigint,after:bigint,until:bigint,large:boolean>>").alias("segments"),
     )
     state = written(state, "stock-state")
-    highest = state.agg(F.max("left")).first()[0] or 0
-    for k in range(highest.bit_length() - 1, -1, -1):
-        state = written(one_round(ranged, state, k), f"stock-state-{k}")
+    while highest := state.agg(F.max("left")).first()[0]:
+        state = written(one_round(ranged, state, highest.bit_length() - 1), "stock-state")
 
     def grants(segment: Column) -> Column:
         inside = (F.col("seq") > segment["after"]) & (F.col("seq") <= segment["until"])

@@ -65,7 +65,7 @@ def column_reasons(column: Col, check_widths: bool) -> list[Column]:
     if column.domain:
         rules.append((text.isNotNull() & value.isNull(), "domain"))
     if check_widths and column.width:
-        rules.append((F.length(F.rtrim(text)) > column.width, "length"))
+        rules.append((F.length(F.rtrim(value if column.via else text)) > column.width, "length"))
     return [F.when(broken, F.lit(f"{code}:{name}")) for broken, code in rules]
 
 
@@ -189,7 +189,7 @@ def validated_load(
         raise ValueError(on_duplicate)
     spark = staged.sparkSession
     rows = judged(staged, table, core, check_widths, keep_raw=on_duplicate == "first")
-    rows = written(rows, f"judged-{table.name}", partition_by="outcome")
+    rows = written(rows, f"judged-{table.name}")
     good = rows.filter(F.col("outcome") == "good")
     rejected = rows.filter(F.col("outcome") == "rejected")
     target = F.lit(table.full_name).alias("target_table")

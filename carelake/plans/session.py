@@ -48,7 +48,7 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders.setdefault(context.applicationId, tempfile.mkdtemp(prefix="carelake-"))
 
 
-def written(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
+def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` stored as Parquet in the shared folder and read back.
 
     This cuts the lineage where one result feeds several reads: the work behind it runs
@@ -56,8 +56,5 @@ def written(df: DataFrame, label: str, partition_by: str | None = None) -> DataF
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/carelake/{label}-{uuid.uuid4().hex}"
-    writer = df.write
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -18,7 +18,7 @@ from carelake.schemas import (
     Table,
 )
 
-# Which defect a row gets: its key's last six digits modulo SPREAD.
+# Which defect a row gets: the digits among its key's last six characters modulo SPREAD.
 SPREAD = 17
 BAD_NUMBER, BAD_CHOICE, NO_PARENT, NO_KEY, LOOSE_SPELLING, IN_CORE, BAD_SOFT, NO_TEXT, OUT_OF_RANGE = range(9)
 
@@ -49,7 +49,7 @@ ABSENT = {
 
 def defect(table: Table) -> str:
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ-"
-    return f"CAST(right(translate({table.key}, '{letters}', ''), 6) AS INT) % {SPREAD}"
+    return f"CAST(translate(right({table.key}, 6), '{letters}', '') AS INT) % {SPREAD}"
 
 
 def staged_text(table: Table) -> str:
