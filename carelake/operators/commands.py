@@ -7,7 +7,7 @@ out, so they are made once, and ids come from ``with_position``, not from a glob
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -19,16 +19,25 @@ from carelake.operators.dispensing import FOLD_LIMIT, decide
 from carelake.plans.numbering import with_position
 from carelake.plans.session import written
 from carelake.schemas import CLAIM_STATES, VISIT_TYPES
+from carelake.sources.store import CoreStore
 
 REVIEW_STATES = ("Approved", "Partially Approved", "Rejected")
 
 
 @dataclass
 class Outcome:
-    """``decisions`` has one row per command; ``tables`` the new or changed core tables."""
+    """One row per command, the rows to add to core tables, and tables to replace whole."""
 
     decisions: DataFrame
-    tables: dict[str, DataFrame]
+    added: dict[str, DataFrame] = field(default_factory=dict)
+    changed: dict[str, DataFrame] = field(default_factory=dict)
+
+    def apply(self, store: CoreStore) -> None:
+        """Store the effects. Ids and decisions are already written, so they stay as decided."""
+        for name, rows in self.added.items():
+            store.append(name, rows)
+        for name, rows in self.changed.items():
+            store.replace(name, rows)
 
 
 def reason_list(*rules: tuple[Column, str]) -> Column:
@@ -46,7 +55,8 @@ def next_ids(rows: DataFrame, order: list[str], taken: DataFrame, id_column: str
     used = F.when(F.col(id_column).startswith(prefix), parsed(suffix, "bigint"))
     largest = taken.select(F.coalesce(F.max(used), F.lit(0))).scalar()
     placed = with_position(rows, *order)
-    return placed.withColumn(id_column, numbered(prefix, largest + F.col("position"), digits)).drop("position")
+    placed = placed.withColumn(id_column, numbered(prefix, largest + F.col("position"), digits)).drop("position")
+    return written(placed, f"new-{id_column}")
 
 
 def folded_keys(commands: DataFrame, *names: str) -> DataFrame:
@@ -107,7 +117,7 @@ def register_visits(core: Core, commands: DataFrame, as_of: date) -> Outcome:
     decisions = accepted.select("seq", "visit_id", "reasons").unionByName(
         rejected.select("seq", F.lit(None).cast("string").alias("visit_id"), "reasons")
     )
-    return Outcome(decisions, {"visit": visits})
+    return Outcome(decisions, added={"visit": visits})
 
 
 def dispense(core: Core, commands: DataFrame, as_of: date, fold_limit: int = FOLD_LIMIT) -> Outcome:
@@ -143,7 +153,7 @@ def dispense(core: Core, commands: DataFrame, as_of: date, fold_limit: int = FOL
             F.lit(None).cast("bigint").alias("remaining_stock"), "reasons",
         )
     )
-    return Outcome(decisions, {"drug_transaction": moves, "drug_inventory": inventory})
+    return Outcome(decisions, added={"drug_transaction": moves}, changed={"drug_inventory": inventory})
 
 
 def submit_claims(core: Core, commands: DataFrame, as_of: date) -> Outcome:
@@ -171,7 +181,7 @@ def submit_claims(core: Core, commands: DataFrame, as_of: date) -> Outcome:
     )
     decided = first_wins(written(decided, "submit-checks"), "visit_id", "claim:exists")
     accepted, rejected = split(decided, "submit-decisions")
-    accepted = written(next_ids(accepted, ["seq"], core["claim"], "claim_id", "CLM", 8), "submit-accepted")
+    accepted = next_ids(accepted, ["seq"], core["claim"], "claim_id", "CLM", 8)
     claims = accepted.select(
         "claim_id", "patient_id", "visit_id", "hospital_id", F.lit(as_of).alias("claim_date"), "claim_amount",
         F.lit(None).cast("decimal(10,2)").alias("approved_amount"), F.lit("Pending Review").alias("claim_status"),
@@ -188,7 +198,7 @@ def submit_claims(core: Core, commands: DataFrame, as_of: date) -> Outcome:
             F.lit(None).cast("decimal(10,2)").alias("claim_amount"), "reasons",
         )
     )
-    return Outcome(decisions, {"claim": claims, "claim_item": items})
+    return Outcome(decisions, added={"claim": claims, "claim_item": items})
 
 
 def review_claims(core: Core, commands: DataFrame, as_of: date) -> Outcome:
@@ -231,4 +241,4 @@ def review_claims(core: Core, commands: DataFrame, as_of: date) -> Outcome:
     decisions = accepted.select("seq", "approval_id", "reasons").unionByName(
         rejected.select("seq", F.lit(None).cast("string").alias("approval_id"), "reasons")
     )
-    return Outcome(decisions, {"claim_approval": approvals, "claim": claims})
+    return Outcome(decisions, added={"claim_approval": approvals}, changed={"claim": claims})

@@ -111,11 +111,10 @@ def round_decisions(commands: DataFrame) -> DataFrame:
 def decide(commands: DataFrame, fold_limit: int = FOLD_LIMIT) -> DataFrame:
     """``granted`` and ``remaining_stock`` for every command (keys, seq, quantity > 0, stock)."""
     crowded = (
-        commands.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > fold_limit).select(*KEYS)
+        commands.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > fold_limit)
+        .select(*KEYS, F.lit(True).alias("crowded"))
     )
-    crowded = written(crowded, "crowded-keys")
-    few = folded_decisions(commands.join(crowded, KEYS, "left_anti"))
-    if crowded.isEmpty():
-        return few
-    many = round_decisions(commands.join(crowded, KEYS, "left_semi"))
-    return few.unionByName(many)
+    marked = written(commands.join(crowded, KEYS, "left"), "marked-commands")
+    few = folded_decisions(marked.filter(F.col("crowded").isNull()))
+    many = marked.filter(F.col("crowded")).drop("crowded")
+    return few if many.isEmpty() else few.unionByName(round_decisions(many))

@@ -108,7 +108,10 @@ def duplicate_claims(core: Core, claims: DataFrame, ids_per_row: int = IDS_PER_R
     share = F.pmod(F.xxhash64("claim_id"), F.ceil(F.col("claim_count") / F.lit(ids_per_row)))
     listed = (
         claims.select(*pair, "claim_id").join(counted, pair)
-        .groupBy(*pair, "claim_count", "total_claimed", share.alias("share"))
+        .withColumn("share", share)
+        # By share too: the join leaves all claims of a pair in one partition.
+        .repartition(*pair, "share")
+        .groupBy(*pair, "claim_count", "total_claimed", "share")
         .agg(F.array_join(F.sort_array(F.collect_list("claim_id")), ", ").alias("claim_ids"))
     )
     patient = core["patient"].select("patient_id", person("first_name", "last_name").alias("patient_name"))

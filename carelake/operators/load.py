@@ -10,12 +10,12 @@ Every staged row gets one outcome:
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelake.core import Core
@@ -23,6 +23,7 @@ from carelake.functions.text import folded, parsed
 from carelake.plans.session import written
 from carelake.schemas import TABLES, Col, Table
 from carelake.sources.store import LOG_SCHEMA, CoreStore, with_literal_time
+from carelake.sources.text_files import read_delimited, readable, unreadable
 
 logger = logging.getLogger(__name__)
 
@@ -217,6 +218,26 @@ def validated_load(
     return LoadResult(table, rows, good.select(*table.column_names), quarantined, failed)
 
 
+def load_files(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    table: Table,
+    core: Core,
+    load_time: datetime,
+    on_duplicate: str = "fail",
+    **options,
+) -> LoadResult:
+    """Delivered files straight into a core table, under the same rules as a staged load.
+
+    ``options`` go to ``read_delimited`` (separator, quoting). Lines with the wrong number
+    of fields join the quarantine.
+    """
+    staged = read_delimited(spark, paths, table, load_time, **options)
+    result = validated_load(readable(staged), table, core, on_duplicate)
+    result.quarantined = result.quarantined.unionByName(unreadable(staged, table))
+    return result
+
+
 def load_all(
     staging: Mapping[str, DataFrame],
     store: CoreStore,

@@ -53,10 +53,11 @@ def running_total(ranged: DataFrame, keys: list[str], order: str, amount: Column
     """Sum of ``amount`` over the rows of the same key up to and including each row.
 
     ``ranged`` comes from ``in_ranges`` over the keys and the order. A key is summed slice
-    by slice; what earlier slices add up to is joined on afterwards.
+    by slice; what earlier slices add up to is joined on afterwards. The explicit partitioning
+    matters when the rows come from a join on the keys, which leaves a key in one partition.
     """
     slices = [*keys, "range_no"]
-    rows = ranged.withColumn("amount_", amount)
+    rows = ranged.withColumn("amount_", amount).repartition(*slices)
     inside = Window.partitionBy(*slices).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     totals = rows.groupBy(*slices).agg(F.sum("amount_").alias("total_"))
     before = Window.partitionBy(*keys).orderBy("range_no").rowsBetween(Window.unboundedPreceding, -1)

@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a dominant key even where the next operator could have used the join's partitioning.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
@@ -39,22 +41,34 @@ _local_folders: dict[str, str] = {}
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``; a scratch folder only in local mode."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     return _local_folders.setdefault(context.applicationId, tempfile.mkdtemp(prefix="carelake-"))
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """This application's part of the shared folder."""
+    return f"{shared_folder(spark)}/carelake/{spark.sparkContext.applicationId}"
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` stored as Parquet in the shared folder and read back.
 
     This cuts the lineage where one result feeds several reads: the work behind it runs
     once, later reads prune columns, and a lost executor costs nothing that was written.
+    The exact size is known afterwards, so a small result is broadcast by Spark's own check.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/carelake/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard_written(spark: SparkSession) -> None:
+    """Delete what ``written`` stored for this application; its DataFrames end with it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

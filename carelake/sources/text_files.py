@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,14 +64,23 @@ def read_tsv(spark: SparkSession, paths, table: Table, load_time: datetime, **op
     return read_delimited(spark, paths, table, load_time, "\t", quoted=False, **options)
 
 
+def is_corrupt(staged: DataFrame) -> Column:
+    """Whether a line had the wrong number of fields.
+
+    Spark refuses to scan text for this column alone (a count, say), so a data column is
+    named beside it; none of its characters are used.
+    """
+    return F.length(F.concat_ws("", CORRUPT, F.left(staged.columns[0], F.lit(0)))) > 0
+
+
 def readable(staged: DataFrame) -> DataFrame:
     """The rows that have the right number of fields."""
-    return staged.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    return staged.filter(~is_corrupt(staged)).drop(CORRUPT)
 
 
 def unreadable(staged: DataFrame, table: Table) -> DataFrame:
     """Quarantine rows for the lines that do not."""
-    return staged.filter(F.col(CORRUPT).isNotNull()).select(
+    return staged.filter(is_corrupt(staged)).select(
         F.lit(table.full_name).alias("target_table"),
         F.lit(None).cast("string").alias("source_key"),
         F.array(F.lit("parse:fields")).alias("reasons"),

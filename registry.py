@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from carelake.core import Core
 from carelake.operators import audits, claims, commands, fraud, hospitals, patients, pharmacy, views
 from carelake.operators.load import load_all, validated_load
-from carelake.plans.session import shared_folder
+from carelake.plans.session import scratch_folder
 from carelake.schemas import BY_NAME, TABLES
 from carelake.sources.command_batches import batch, dispense_commands
 from carelake.sources.driver_tables import AS_OF, driver_core
@@ -54,7 +54,7 @@ def loaded_store(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame]
     staging = {t.name: staged_table(core, t.name) for t in TABLES}
     where = (spark.sparkContext.applicationId, sf_dir)
     if where not in _loaded:
-        store = CoreStore(spark, f"{shared_folder(spark)}/carelake/core-{uuid.uuid4().hex}")
+        store = CoreStore(spark, f"{scratch_folder(spark)}/core-{uuid.uuid4().hex}")
         load_all(staging, store, LOAD_TIME, check_widths=False)
         _loaded[where] = store
     return staging, _loaded[where]
@@ -62,7 +62,7 @@ def loaded_store(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame]
 
 def delivered(core: Core, name: str, sep: str, quoted: bool) -> str:
     """The staged rows of a table written out as text files; returns their folder."""
-    path = f"{shared_folder(core.spark)}/carelake/files-{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_folder(core.spark)}/files-{name}-{uuid.uuid4().hex}"
     write_delimited(staged_table(core, name), path, sep, quoted)
     return path
 
@@ -168,14 +168,14 @@ def decisions(outcome: commands.Outcome) -> DataFrame:
 COMMANDS: dict[str, Callable[[Core], DataFrame]] = {
     "cmd_register_visits": lambda core: decisions(register(core)),
     "cmd_dispense": lambda core: decisions(dispense(core)),
-    "cmd_dispense_inventory": lambda core: dispense(core).tables["drug_inventory"],
+    "cmd_dispense_inventory": lambda core: dispense(core).changed["drug_inventory"],
     "cmd_submit_claims": lambda core: decisions(submit(core)),
-    "cmd_submit_claim_items": lambda core: submit(core).tables["claim_item"],
+    "cmd_submit_claim_items": lambda core: submit(core).added["claim_item"],
     "cmd_review_decisions": lambda core: decisions(review(core)),
-    "cmd_review_claims": lambda core: review(core).tables["claim"].select(
+    "cmd_review_claims": lambda core: review(core).changed["claim"].select(
         "claim_id", "claim_status", "approved_amount"
     ),
-    "cmd_review_approvals": lambda core: review(core).tables["claim_approval"],
+    "cmd_review_approvals": lambda core: review(core).added["claim_approval"],
 }
 
 

@@ -9,7 +9,7 @@ ROOT = Path(__file__).resolve().parents[1]
 sys.path.insert(0, str(ROOT))
 
 from carelake.core import Core  # noqa: E402
-from carelake.plans.session import local_session  # noqa: E402
+from carelake.plans.session import discard_written, local_session  # noqa: E402
 from carelake.schemas import BY_NAME  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
@@ -18,7 +18,9 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     # Small test data would be merged into one partition; keep several, as a cluster has.
-    return local_session(4, "4g", **{"spark.sql.adaptive.coalescePartitions.enabled": "false"})
+    session = local_session(4, "4g", **{"spark.sql.adaptive.coalescePartitions.enabled": "false"})
+    yield session
+    discard_written(session)
 
 
 @pytest.fixture(scope="session")
