@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
@@ -42,6 +42,11 @@ def flag_count(condition: Column) -> Column:
     return F.count(F.when(condition, 1))
 
 
+def moment(at: datetime) -> Column:
+    """A point in time as a literal that does not depend on any time zone setting."""
+    return F.lit(at.isoformat(" ")).cast("timestamp_ntz")
+
+
 def months_before(day: date, months: int) -> date:
     """The same day of an earlier month, or that month's last day."""
     index = day.year * 12 + day.month - 1 - months

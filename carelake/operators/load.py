@@ -19,10 +19,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelake.core import Core
+from carelake.functions.figures import moment
 from carelake.functions.text import folded, parsed
 from carelake.plans.session import written
 from carelake.schemas import TABLES, Col, Table
-from carelake.sources.store import LOG_SCHEMA, CoreStore, with_literal_time
+from carelake.sources.store import LOG_SCHEMA, CoreStore
 from carelake.sources.text_files import read_delimited, readable, unreadable
 
 logger = logging.getLogger(__name__)
@@ -253,7 +254,7 @@ def load_all(
             result = validated_load(staging[table.name], table, store.core(), on_duplicate, check_widths)
             if not result.failed:
                 store.append(table.name, result.accepted)
-            store.log(with_literal_time(result.quarantined, load_time))
+            store.log(result.quarantined.withColumn("load_timestamp", moment(load_time)))
         except Exception as error:  # noqa: BLE001 - the failure unit is the table
             logger.warning("load of %s failed: %s", table.full_name, error)
             row = [(load_time, table.full_name, None, [f"error:{type(error).__name__}"], str(error)[:2048])]

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carelake.core import Core
@@ -97,7 +96,3 @@ class CoreStore:
     def core(self) -> Core:
         """The tables as they are now; take a new one after a write."""
         return Core(self.spark, {t.name: (lambda n=t.name: self.read(n)) for t in TABLES})
-
-
-def with_literal_time(rows: DataFrame, moment) -> DataFrame:
-    return rows.withColumn("load_timestamp", F.lit(moment).cast("timestamp_ntz"))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from carelake.functions.figures import moment
 from carelake.schemas import Table
 
 CORRUPT = "corrupt_record"
@@ -48,7 +49,7 @@ def read_delimited(
         ]
         return rows.select(
             *columns, CORRUPT,
-            F.lit(load_time).cast("timestamp_ntz").alias(SOURCE[0]),
+            moment(load_time).alias(SOURCE[0]),
             F.col("_metadata.file_path").alias(SOURCE[1]),
         )
 
