@@ -7,9 +7,10 @@ import pytest
 from conftest import SF
 
 import __spark_entry__ as entry
+import registry
 from tools.check import TABLES, rows_of
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = registry.queries(), registry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
