@@ -7,8 +7,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from carelake.llm import token_files
+from carelake.llm import token_files, winnowing
 from carelake.llm.shipping import ship
 from carelake.plans.session import scratch_folder
 
@@ -31,7 +32,14 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_file(spark, path, digest=True)
 
 
+def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = winnowing.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    listed = F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", listed, "contaminated")
+
+
 QUERIES: dict[str, Query] = {
+    "op9_winnowing": op9_winnowing,
     "op8_token_files": op8_token_files,
 }
 

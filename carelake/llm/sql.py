@@ -3,5 +3,38 @@
 from __future__ import annotations
 
 
+def ascii_lower(column: str) -> str:
+    return f"translate(coalesce({column}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+OP9 = f"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({ascii_lower('text')}, '{ALNUM}') AS w FROM documents
+), docs AS MATERIALIZED (SELECT r, doc_id, w, len(w) AS n_words FROM d),
+items AS MATERIALIZED (
+    SELECT item_id, w, least(13, len(w)) AS n
+    FROM (SELECT item_id, regexp_extract_all({ascii_lower('text')}, '{ALNUM}') AS w FROM benchmark) WHERE len(w) > 0
+), windows AS (
+    SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS g
+    FROM (SELECT item_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM items)
+), widths AS (SELECT DISTINCT n FROM items),
+places AS (
+    SELECT r, n, i, array_to_string(w[i:i + n - 1], ' ') AS g
+    FROM (SELECT r, w, n, unnest(range(1, n_words - n + 2)) AS i FROM docs, widths WHERE n_words >= n)
+), found AS MATERIALIZED (SELECT r, n, i, item_id FROM places JOIN windows USING (n, g)),
+hits AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM found) GROUP BY r),
+listed AS (
+    SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+    FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM found WHERE item_id IS NOT NULL) GROUP BY r
+)
+SELECT doc_id, n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= n_words AS contaminated
+FROM docs LEFT JOIN hits USING (r) LEFT JOIN listed USING (r)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_winnowing": OP9}
