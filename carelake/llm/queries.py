@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm import token_files, winnowing
+from carelake.llm import language, token_files, winnowing
+from carelake.llm.common import id_crc
 from carelake.llm.shipping import ship
 from carelake.plans.session import scratch_folder
 
@@ -25,6 +26,14 @@ def fresh(spark: SparkSession, label: str) -> str:
     return f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.pmod(id_crc("doc_id"), F.lit(4)) == 2
+    model = language.fit(docs.where(~held_out))
+    found = language.predicted(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "language.*")
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh(spark, "tokens")
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
@@ -39,6 +48,7 @@ def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_language": op2_language,
     "op9_winnowing": op9_winnowing,
     "op8_token_files": op8_token_files,
 }
