@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm import language, mixing, token_files, winnowing
+from carelake.llm import language, mixing, near_duplicates, token_files, winnowing
 from carelake.llm.common import id_crc
 from carelake.llm.shipping import ship
 from carelake.plans.session import scratch_folder
@@ -34,6 +34,11 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "language.*")
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, part=85, whole=100)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.planned(table(spark, sf_dir, "documents"))
     return mixing.taken(mix).select("doc_id", "size", "source_size", "target", "taken")
@@ -55,6 +60,7 @@ def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_language": op2_language,
     "op9_winnowing": op9_winnowing,
+    "op3_near_duplicates": op3_near_duplicates,
     "op5_mixing": op5_mixing,
     "op8_token_files": op8_token_files,
 }

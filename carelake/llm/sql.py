@@ -35,6 +35,31 @@ SELECT doc_id, n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_i
 FROM docs LEFT JOIN hits USING (r) LEFT JOIN listed USING (r)
 """
 
+BLANK = r"[^\x20\x09-\x0D]+"
+
+OP3 = f"""
+WITH RECURSIVE d AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({ascii_lower('text')}, '{BLANK}') AS w FROM documents
+), g AS MATERIALIZED (
+    SELECT DISTINCT r, array_to_string(w[i:i + least(3, len(w)) - 1], ' ') AS s
+    FROM (SELECT r, w, unnest(range(1, greatest(1, len(w) - 2) + 1)) AS i FROM d WHERE len(w) > 0)
+), sizes AS MATERIALIZED (SELECT r, count(*) AS n FROM g GROUP BY r),
+both AS MATERIALIZED (
+    SELECT a.r AS x, b.r AS y, count(*) AS n FROM g AS a JOIN g AS b ON a.s = b.s AND a.r < b.r GROUP BY ALL
+), links AS MATERIALIZED (
+    SELECT x, y FROM both JOIN sizes AS p ON p.r = x JOIN sizes AS q ON q.r = y
+    WHERE 100 * both.n >= 85 * (p.n + q.n - both.n)
+), ways AS MATERIALIZED (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(r, y) AS (
+    SELECT DISTINCT x, x FROM ways
+    UNION
+    SELECT reach.r, ways.y FROM reach JOIN ways ON ways.x = reach.y
+), least_id AS (SELECT reach.r, min(d.doc_id) AS component_id FROM reach JOIN d ON d.r = reach.y GROUP BY reach.r)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, doc_id) AS component_id,
+       doc_id = coalesce(component_id, doc_id) AS kept
+FROM d LEFT JOIN sizes USING (r) LEFT JOIN least_id USING (r)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_winnowing": OP9}
+    return {"op3_near_duplicates": OP3, "op9_winnowing": OP9}
