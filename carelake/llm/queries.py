@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm import language, mixing, near_duplicates, token_files, winnowing
+from carelake.llm import language, licenses, mixing, near_duplicates, token_files, winnowing
 from carelake.llm.common import id_crc
 from carelake.llm.shipping import ship
 from carelake.plans.session import scratch_folder
@@ -57,11 +57,23 @@ def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", listed, "contaminated")
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scanned(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    places = F.col("licenses.base.place")
+    return found.select(
+        "doc_id", F.col("licenses.n_words").alias("n_words"), F.size(places).cast("long").alias("n_base"),
+        F.array_min(places).alias("first_word"), F.array_max(places).alias("last_word"),
+        F.array_join("licenses.base_labels", ",").alias("base_labels"), F.array_join("licenses.labels", ",").alias("labels"),
+        F.col("licenses.score").alias("score"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op2_language": op2_language,
     "op9_winnowing": op9_winnowing,
     "op3_near_duplicates": op3_near_duplicates,
     "op5_mixing": op5_mixing,
+    "op10_licenses": op10_licenses,
     "op8_token_files": op8_token_files,
 }
 

@@ -44,11 +44,11 @@ WITH RECURSIVE d AS MATERIALIZED (
     SELECT DISTINCT r, array_to_string(w[i:i + least(3, len(w)) - 1], ' ') AS s
     FROM (SELECT r, w, unnest(range(1, greatest(1, len(w) - 2) + 1)) AS i FROM d WHERE len(w) > 0)
 ), sizes AS MATERIALIZED (SELECT r, count(*) AS n FROM g GROUP BY r),
-both AS MATERIALIZED (
+shared AS MATERIALIZED (
     SELECT a.r AS x, b.r AS y, count(*) AS n FROM g AS a JOIN g AS b ON a.s = b.s AND a.r < b.r GROUP BY ALL
 ), links AS MATERIALIZED (
-    SELECT x, y FROM both JOIN sizes AS p ON p.r = x JOIN sizes AS q ON q.r = y
-    WHERE 100 * both.n >= 85 * (p.n + q.n - both.n)
+    SELECT x, y FROM shared JOIN sizes AS p ON p.r = x JOIN sizes AS q ON q.r = y
+    WHERE 100 * shared.n >= 85 * (p.n + q.n - shared.n)
 ), ways AS MATERIALIZED (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
 reach(r, y) AS (
     SELECT DISTINCT x, x FROM ways
