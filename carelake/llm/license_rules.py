@@ -13,7 +13,7 @@ from dataclasses import dataclass
 class Rule:
     rank: int  # 1 full text or tag, 2 grant or address, 3 name with version, 4 bare name, 5 notice
     label: str
-    keyword: str  # stands in every text that the pattern can match
+    keyword: str  # stands in every normalised text that the pattern can match
     pattern: str
     weight: float
 
@@ -30,13 +30,14 @@ class Family:
 
 
 FAMILIES = (
-    Family("mit", "(?:mit|expat)(?: style)? licen[sc]e", "licen", address="opensource org licenses mit"),
+    Family("mit", "mit(?: style)? licen[sc]e", " mit ", address="opensource org licenses mit"),
+    Family("mit", "expat(?: style)? licen[sc]e", " expat "),
     Family("mit-0", "mit no attribution(?: licen[sc]e)?", "attribution"),
     Family("apache", "apache(?: software)? licen[sc]e", "apache", ("1.0", "1.1", "2.0"), "apache org licenses license"),
     Family("gpl", "gnu gpl", "gpl", ("1.0", "2.0", "3.0")),
-    Family("gpl", "(?:gnu )?general public licen[sc]e", "general", ("1.0", "2.0", "3.0"), "gnu org licenses gpl"),
+    Family("gpl", "(?:gnu )?general public licen[sc]e", " general public ", ("1.0", "2.0", "3.0"), "gnu org licenses gpl"),
     Family("lgpl", "gnu lgpl", "lgpl", ("2.0", "2.1", "3.0")),
-    Family("lgpl", "(?:gnu )?(?:lesser|library) general public licen[sc]e", "general", ("2.0", "2.1", "3.0"), "gnu org licenses lgpl"),
+    Family("lgpl", "(?:gnu )?(?:lesser|library) general public licen[sc]e", " general public ", ("2.0", "2.1", "3.0"), "gnu org licenses lgpl"),
     Family("agpl", "gnu agpl", "agpl", ("1.0", "3.0")),
     Family("agpl", "(?:gnu )?affero general public licen[sc]e", "affero", ("1.0", "3.0"), "gnu org licenses agpl"),
     Family("gfdl", "(?:gnu )?free documentation licen[sc]e", "documentation", ("1.1", "1.2", "1.3"), "gnu org licenses fdl"),
@@ -47,20 +48,22 @@ FAMILIES = (
     Family("bsd", "bsd(?: style)? licen[sc]e", "bsd"),
     Family("mpl", "mozilla public licen[sc]e", "mozilla", ("1.0", "1.1", "2.0"), "mozilla org mpl"),
     Family("epl", "eclipse public licen[sc]e", "eclipse", ("1.0", "2.0"), "eclipse org legal epl"),
-    Family("cddl", "common development and distribution licen[sc]e", "development", ("1.0", "1.1")),
-    Family("cpl", "common public licen[sc]e", "common", ("1.0",)),
+    Family("cddl", "common development and distribution licen[sc]e", " common development ", ("1.0", "1.1")),
+    Family("cpl", "common public licen[sc]e", " common public ", ("1.0",)),
     Family("eupl", "european union public licen[sc]e", "european", ("1.0", "1.1", "1.2")),
-    Family("osl", "open software licen[sc]e", "software", ("1.0", "2.0", "2.1", "3.0")),
+    Family("osl", "open software licen[sc]e", " open software ", ("1.0", "2.0", "2.1", "3.0")),
     Family("afl", "academic free licen[sc]e", "academic", ("1.1", "1.2", "2.0", "2.1", "3.0")),
     Family("artistic", "artistic licen[sc]e", "artistic", ("1.0", "2.0")),
-    Family("isc", "isc licen[sc]e|internet systems consortium licen[sc]e", "licen", address="opensource org licenses isc"),
+    Family("isc", "isc licen[sc]e", " isc ", address="opensource org licenses isc"),
+    Family("isc", "internet systems consortium licen[sc]e", "consortium"),
     Family("zlib", "zlib(?: libpng)? licen[sc]e", "zlib"),
     Family("libpng", "libpng licen[sc]e", "libpng", ("1.0", "2.0")),
     Family("boost", "boost software licen[sc]e", "boost", ("1.0",), "boost org license"),
     Family("unlicense", "(?:the )?unlicense", "unlicense", address="unlicense org"),
     Family("wtfpl", "wtfpl", "wtfpl", ("1.0", "2.0")),
-    Family("wtfpl", "do what the f\\w* you want to public licen[sc]e", "what", ("1.0", "2.0")),
-    Family("python", "(?:python software foundation|psf) licen[sc]e", "licen", ("2.0",)),
+    Family("wtfpl", "do what the f\\w* you want to public licen[sc]e", " do what the ", ("1.0", "2.0")),
+    Family("python", "python software foundation licen[sc]e", " python ", ("2.0",)),
+    Family("python", "psf licen[sc]e", " psf ", ("2.0",)),
     Family("php", "php licen[sc]e", "php", ("3.0", "3.01")),
     Family("ruby", "ruby licen[sc]e", "ruby"),
     Family("perl", "same terms as perl itself", "perl"),
@@ -70,13 +73,13 @@ FAMILIES = (
     Family("w3c", "w3c software(?: notice)?(?: and)? licen[sc]e", "w3c"),
     Family("zpl", "zope public licen[sc]e", "zope", ("1.1", "2.0", "2.1")),
     Family("ncsa", "university of illinois(?: ncsa)? open source licen[sc]e", "illinois"),
-    Family("upl", "universal permissive licen[sc]e", "permissive", ("1.0",)),
+    Family("upl", "universal permissive licen[sc]e", " universal permissive ", ("1.0",)),
     Family("ms-pl", "microsoft public licen[sc]e", "microsoft"),
     Family("ms-rl", "microsoft reciprocal licen[sc]e", "microsoft"),
-    Family("ofl", "(?:sil )?open font licen[sc]e", "font", ("1.0", "1.1"), "scripts sil org ofl"),
-    Family("bsl", "business source licen[sc]e", "business", ("1.0", "1.1")),
-    Family("sspl", "server side public licen[sc]e", "server", ("1.0",)),
-    Family("odbl", "open (?:data commons open )?database licen[sc]e", "database", ("1.0",), "opendatacommons org licenses odbl"),
+    Family("ofl", "(?:sil )?open font licen[sc]e", " open font ", ("1.0", "1.1"), "scripts sil org ofl"),
+    Family("bsl", "business source licen[sc]e", " business source ", ("1.0", "1.1")),
+    Family("sspl", "server side public licen[sc]e", " server side ", ("1.0",)),
+    Family("odbl", "open (?:data commons open )?database licen[sc]e", "database licen", ("1.0",), "opendatacommons org licenses odbl"),
     Family("odbl", "odbl", "odbl", ("1.0",)),
     Family("odc-by", "open data commons attribution licen[sc]e", "commons", ("1.0",), "opendatacommons org licenses by"),
     Family("pddl", "public domain dedication and licen[sc]e", "dedication", ("1.0",), "opendatacommons org licenses pddl"),
@@ -89,7 +92,8 @@ FAMILIES = (
     Family("elastic", "elastic licen[sc]e", "elastic", ("1.0", "2.0")),
     Family("polyform", "polyform (?:noncommercial|small business|strict) licen[sc]e", "polyform", ("1.0.0",)),
     Family("commons-clause", "commons clause", "clause"),
-    Family("rail", "(?:open ?rail|responsible ai) licen[sc]e", "licen"),
+    Family("rail", "open ?rail licen[sc]e", "rail "),
+    Family("rail", "responsible ai licen[sc]e", " responsible ai "),
 )
 
 # The attribution licences of one publisher: parts of the name and their words.
@@ -126,7 +130,7 @@ NOTICES = (
     ("no-redistribution", "prohibited", "(?:redistribution|reproduction|copying) (?:\\w+ ){0,4}(?:is )?(?:strictly )?prohibited"),
     ("non-commercial", "commercial use", "(?:for )?non ?commercial use only"),
     ("fair-use", "fair use", "fair use"),
-    ("license-mention", "licen", "licen[sc]ed under"),
+    ("license-mention", "ed under ", "licen[sc]ed under"),
 )
 
 GRANT = "(?:licen[sc]ed|released|distributed|available|provided|published|redistributed|governed)(?: \\w+)? (?:under|by)(?: the)?(?: terms of)?(?: the)? "
@@ -153,7 +157,7 @@ def family_rules(family: Family) -> list[Rule]:
         Rule(4, label, keyword, name, 0.6),
     ]
     if family.address:
-        found.append(Rule(2, label, family.address.split(" ")[0], family.address, 0.9))
+        found.append(Rule(2, label, family.address, family.address, 0.9))
     for version in family.versions:
         own = f"{label}-{version}"
         found += [
@@ -169,7 +173,7 @@ def cc_rules() -> list[Rule]:
     for kind in CC_KINDS:
         parts = kind.split("-")
         end = "(?! (?:nc|nd|sa|non|no|share))"
-        written = ((f"cc {' '.join(parts)}{end}", "cc"), (f"creative commons {' '.join(CC_PARTS[p] for p in parts)}{end}", "commons"))
+        written = ((f"cc {' '.join(parts)}{end}", " cc by"), (f"creative commons {' '.join(CC_PARTS[p] for p in parts)}{end}", " creative commons "))
         for name, keyword in written:
             found += [Rule(2, f"cc-{kind}", keyword, GRANT + name, 0.9), Rule(4, f"cc-{kind}", keyword, name, 0.6)]
         for version in CC_VERSIONS:
@@ -185,6 +189,6 @@ def cc_rules() -> list[Rule]:
 def rules() -> list[Rule]:
     """All rules, strongest first."""
     found = [r for family in FAMILIES for r in family_rules(family)] + cc_rules()
-    found += [Rule(1, label, text.split(" ")[0], text, 1.0) for label, text in SENTENCES]
+    found += [Rule(1, label, " ".join(text.split(" ")[:4]), text, 1.0) for label, text in SENTENCES]
     found += [Rule(5, label, keyword, text, 0.3) for label, keyword, text in NOTICES]
     return sorted(found, key=lambda r: (r.rank, r.label, r.pattern))

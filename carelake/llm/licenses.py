@@ -16,6 +16,7 @@ Nulls and edges: a null or empty text has no words, no labels and score 0. Repea
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 from operator import or_
 
@@ -35,10 +36,16 @@ GATE = (
     "eclipse", "sil", "boost", "permission", "redistribut", "contributors", "advertising", "warranty", "unencumbered",
     "copyright", "copies", "reserved", "domain", "confidential", "prohibited", "commercial", "fair",
 )
-WORD = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+MARK = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]"
 MARKS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
 
+def word_count(text: Column) -> Column:
+    """Pieces between runs of marks, without the empty ones that a mark at either end leaves."""
+    ends = F.substring(text, 1, 1).rlike(MARK).cast("long") + F.substring(text, -1, 1).rlike(MARK).cast("long")
+    return F.when(text == "", F.lit(0)).otherwise(F.size(F.split(text, f"{MARK}+")) - ends).cast("long")
+
+
 def normalised(text: Column) -> Column:
     """Lower-case words with one blank between them and around."""
     words = F.regexp_replace(F.translate(text, UPPER, LOWER), MARKS, " ")
@@ -52,38 +59,39 @@ def gated(lowered: Column) -> Column:
 
 def rule_table(found: list[Rule]) -> Column:
     """The rules as one constant array, by keyword."""
-    by_keyword: dict[str, list[Rule]] = {}
-    for rule in found:
-        by_keyword.setdefault(rule.keyword, []).append(rule)
-    return F.array(*(
-        F.struct(F.lit(keyword).alias("keyword"), F.array(*(
-            F.struct(
-                F.lit(r.rank).alias("rank"), F.lit(r.label).alias("label"),
-                F.lit(f"(?<= )(?:{r.pattern})(?= )").alias("pattern"), F.lit(r.weight).alias("weight"),
-            )
-            for r in own
-        )).alias("rules"))
-        for keyword, own in by_keyword.items()
-    ))
+    by_keyword: dict[str, list[dict]] = {}
+    for r in found:
+        own = {"rank": r.rank, "label": r.label, "pattern": f"(?<= )(?:{r.pattern})(?= )", "weight": r.weight}
+        by_keyword.setdefault(r.keyword, []).append(own)
+    rows = [{"keyword": keyword, "rules": own} for keyword, own in by_keyword.items()]
+    rule = "struct<rank:int,label:string,pattern:string,weight:double>"
+    return F.from_json(F.lit(json.dumps(rows)), f"array<struct<keyword:string,rules:array<{rule}>>>")
+
+
+def matched(text: Column, held: Column) -> Column:
+    """The rules that match, each with its matches."""
+    tried = F.transform(
+        held, lambda r: F.struct(r.alias("rule"), F.regexp_extract_all(text, r["pattern"], F.lit(0)).alias("matches"))
+    )
+    return F.filter(tried, lambda h: F.size(h["matches"]) > 0)
 
 
-def intervals(text: Column, rule: Column) -> Column:
-    """Where the rule's pattern matches: the matches, and what stands between them, add up to the places."""
-    matches = F.regexp_extract_all(text, rule["pattern"], F.lit(0))
-    between = F.split(text, rule["pattern"], -1)
-    lengths = F.transform(
-        matches, lambda m, i: F.struct(F.length(F.get(between, i)).alias("gap"), F.length(m).alias("size"))
-    )
+def intervals(text: Column, hit: Column) -> Column:
+    """Where a rule matches: the matches, and what stands between them, add up to the places."""
+    rule = hit["rule"]
+    gaps = F.transform(F.split(text, rule["pattern"], -1), lambda x: F.length(x))
+    sizes = F.transform(hit["matches"], lambda m: F.length(m))
+    parts = F.zip_with(gaps, sizes, lambda gap, size: F.struct(gap.alias("gap"), size.alias("size")))
     none = F.array().cast("array<struct<lo:int,hi:int>>")
     start = F.struct(F.lit(0).alias("at"), none.alias("found"))
 
     def step(state: Column, part: Column) -> Column:
         low = state["at"] + part["gap"]
-        high = low + part["size"]
-        own = F.array(F.struct(low.alias("lo"), high.alias("hi")))
+        high = low + F.coalesce(part["size"], F.lit(0))
+        own = F.when(part["size"].isNotNull(), F.array(F.struct(low.alias("lo"), high.alias("hi")))).otherwise(none)
         return F.struct(high.alias("at"), F.concat(state["found"], own).alias("found"))
 
-    places = F.aggregate(lengths, start, step, lambda state: state["found"])
+    places = F.aggregate(parts, start, step, lambda state: state["found"])
     return F.transform(places, lambda p: F.struct(
         p["lo"].alias("lo"), p["hi"].alias("hi"), rule["rank"].alias("rank"),
         rule["label"].alias("label"), rule["weight"].alias("weight"),
@@ -126,13 +134,15 @@ def scanned(docs: DataFrame, text: str = "text", name: str = "licenses") -> Data
     rows = docs.select(given).select("row", whole.alias("whole"), F.lower(whole).alias("lowered"))
     whole = F.col("whole")
     rows = rows.select(
-        "row", F.regexp_count(whole, F.lit(WORD)).cast("long").alias("n_words"),
+        "row", word_count(whole).alias("n_words"),
         F.when(gated(F.col("lowered")), normalised(whole)).alias("norm"),
     )
     norm = F.col("norm")
     groups = F.filter(rule_table(rules()), lambda g: F.contains(norm, g["keyword"]))
     held = F.flatten(F.transform(groups, lambda g: g["rules"]))
-    rows = rows.withColumn("found", F.when(norm.isNotNull(), F.flatten(F.transform(held, lambda r: intervals(norm, r)))))
+    rows = rows.withColumn("found", F.when(
+        norm.isNotNull(), F.flatten(F.transform(matched(norm, held), lambda h: intervals(norm, h)))
+    ))
     words = F.split(F.trim(norm), " ")
     parts = [base_places(norm, words, phrase, label) for phrase, label in BASE.items()]
     rows = rows.withColumn("base", F.when(F.contains(norm, F.lit(" license ")), F.concat(*parts)))
