@@ -6,10 +6,10 @@ import uuid
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm import language, licenses, mixing, near_duplicates, token_files, winnowing
+from carelake.llm import language, licenses, mixing, near_duplicates, secret_scan, token_files, winnowing
 from carelake.llm.common import id_crc
 from carelake.llm.shipping import ship
 from carelake.plans.session import scratch_folder
@@ -44,6 +44,23 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(mix).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scanned(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    spans = F.col("secrets")
+    base = F.filter(spans, lambda s: s["kind"] != "novel")
+
+    def joined(rows: Column) -> Column:
+        return F.array_join(F.transform(rows, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", count("assign"), count("access"), count("hex"), F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(spans).alias("spans"),
+    )
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh(spark, "tokens")
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
@@ -74,6 +91,7 @@ QUERIES: dict[str, Query] = {
     "op3_near_duplicates": op3_near_duplicates,
     "op5_mixing": op5_mixing,
     "op10_licenses": op10_licenses,
+    "op6_secret_scan": op6_secret_scan,
     "op8_token_files": op8_token_files,
 }
 
