@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm import language, licenses, mixing, near_duplicates, secret_scan, token_files, winnowing
+from carelake.llm import hidden_markov, language, licenses, mixing, near_duplicates, secret_scan, token_files, winnowing
 from carelake.llm.common import id_crc
 from carelake.llm.shipping import ship
 from carelake.plans.session import scratch_folder
@@ -61,6 +61,11 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.pmod(id_crc("doc_id"), F.lit(5)) == 1
+    return hidden_markov.scored(table(spark, sf_dir, "documents"), held_out)
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh(spark, "tokens")
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
@@ -92,6 +97,7 @@ QUERIES: dict[str, Query] = {
     "op5_mixing": op5_mixing,
     "op10_licenses": op10_licenses,
     "op6_secret_scan": op6_secret_scan,
+    "op7_hidden_markov": op7_hidden_markov,
     "op8_token_files": op8_token_files,
 }
 
