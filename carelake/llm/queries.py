@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm import hidden_markov, language, licenses, mixing, near_duplicates, secret_scan, token_files, winnowing
+from carelake.llm import hidden_markov, language, licenses, mixing, near_duplicates, neighbours, secret_scan, token_files, winnowing
 from carelake.llm.common import id_crc
 from carelake.llm.shipping import ship
 from carelake.plans.session import scratch_folder
@@ -26,6 +26,10 @@ def fresh(spark: SparkSession, label: str) -> str:
     return f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = F.pmod(id_crc("doc_id"), F.lit(4)) == 2
@@ -91,6 +95,7 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_neighbours": op1_neighbours,
     "op2_language": op2_language,
     "op9_winnowing": op9_winnowing,
     "op3_near_duplicates": op3_near_duplicates,
