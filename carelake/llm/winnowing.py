@@ -85,7 +85,7 @@ CANDIDATE = pa.struct([
     ("width", pa.int32()), ("fp", pa.int64()), ("place", pa.int32()), ("at", pa.int32()), ("context", pa.binary()),
 ])
 DOCUMENT_SCHEMA = (
-    "doc_id long, n_words long, key binary, "
+    "doc_id long, text_key long, n_words long, key binary, "
     "candidates array<struct<width:int,fp:bigint,place:int,at:int,context:binary>>"
 )
 
@@ -123,9 +123,9 @@ def document_rows(
             found.append(candidates)
         hashes.trim()
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0).cast(pa.int64()), pa.array(counts, pa.int64()), pa.array(keys, pa.binary()),
+            [batch.column(0), batch.column(2), pa.array(counts, pa.int64()), pa.array(keys, pa.binary()),
              pa.array(found, pa.list_(CANDIDATE))],
-            names=["doc_id", "n_words", "key", "candidates"],
+            names=["doc_id", "text_key", "n_words", "key", "candidates"],
         )
 
 
@@ -160,7 +160,7 @@ def benchmark_hits(
     docs: DataFrame, items: DataFrame, width: int = WIDTH, gram: int = GRAM, bits: int = FILTER_BITS,
     doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text",
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Documents (doc_id, n_words, key), spans (key, class, lo, hi) and items (class, item_id).
+    """Documents (doc_id, text_key, n_words, key), spans (key, class, lo, hi) and items (class, item_id).
 
     A span is a run of document words, from ``lo`` and before ``hi``, that stands in an item of the class.
     """
@@ -175,7 +175,9 @@ def benchmark_hits(
     for row in set_bits:  # fp is unsigned in Python and signed in Spark
         bitmap[(row["bit"] + wrap * row["neg"]) % bits] = True
     packed = np.packbits(bitmap).tobytes()
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), utf8(text).alias("text"))
+    rows = docs.select(
+        F.col(doc_id).cast("long").alias("doc_id"), utf8(text).alias("text"), F.xxhash64(F.col(text)).alias("text_key")
+    )
     scanned = written(
         rows.mapInArrow(lambda it: document_rows(it, widths, gram, packed, bits), DOCUMENT_SCHEMA), "fingerprints"
     )
@@ -190,14 +192,14 @@ def benchmark_hits(
     )
     spans = matched.mapInArrow(lambda it: extended(it, gram), "key binary, class binary, lo long, hi long").distinct()
     return (
-        scanned.select("doc_id", "n_words", "key"),
+        scanned.select("doc_id", "text_key", "n_words", "key"),
         written(spans, "hit-spans"),
         prints.select("class", "item_id").where(F.col("item_id").isNotNull()).distinct(),
     )
 
 
 def contamination(docs: DataFrame, items: DataFrame, share: int = 20, **options) -> DataFrame:
-    """Per document: doc_id, n_words, n_hit, n_items, item_ids (sorted text) and contaminated.
+    """Per document: doc_id, text_key (xxhash64 of the text), n_words, n_hit, n_items, item_ids (sorted text) and contaminated.
 
     A document is contaminated if it has a hit word and ``share`` times its hit words are at least its words.
     """
@@ -208,12 +210,13 @@ def contamination(docs: DataFrame, items: DataFrame, share: int = 20, **options)
     hits = covered.groupBy("key").agg(F.sum(fresh).alias("n_hit"))
     listed = spans.select("key", "class").distinct().join(members, "class")
     listed = listed.groupBy("key").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"))
-    judged = hits.join(listed, "key", "left")
+    # Written, so that the join below stands alone: it is broadcast if small, and else a much copied text is split.
+    judged = written(hits.join(listed, "key", "left"), "hits")
     none = F.array().cast("array<string>")
     rows = found.join(judged, "key", "left").select(
-        "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.coalesce("item_ids", none).alias("item_ids")
+        "doc_id", "text_key", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.coalesce("item_ids", none).alias("item_ids")
     )
     return rows.select(
-        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), "item_ids",
+        "doc_id", "text_key", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), "item_ids",
         ((F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
     )
