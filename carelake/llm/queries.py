@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm import hidden_markov, language, licenses, mixing, near_duplicates, neighbours, secret_scan, token_files, winnowing
+from carelake.llm import hidden_markov, language, licenses, line_matches, mixing, near_duplicates, neighbours, secret_scan, token_files, winnowing
 from carelake.llm.common import id_crc
 from carelake.llm.shipping import ship
 from carelake.plans.session import scratch_folder
@@ -43,6 +43,12 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op4_line_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_matches.without_repeats(table(spark, sf_dir, "documents"))
+    kept = F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+    return found.select("doc_id", "n_lines", "n_removed", kept)
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.planned(table(spark, sf_dir, "documents"))
     return mixing.taken(mix).select("doc_id", "size", "source_size", "target", "taken")
@@ -99,6 +105,7 @@ QUERIES: dict[str, Query] = {
     "op2_language": op2_language,
     "op9_winnowing": op9_winnowing,
     "op3_near_duplicates": op3_near_duplicates,
+    "op4_line_matches": op4_line_matches,
     "op5_mixing": op5_mixing,
     "op10_licenses": op10_licenses,
     "op6_secret_scan": op6_secret_scan,

@@ -60,6 +60,35 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, doc_id) AS c
 FROM d LEFT JOIN sizes USING (r) LEFT JOIN least_id USING (r)
 """
 
+OP4 = f"""
+WITH d AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY doc_id) AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), l AS MATERIALIZED (
+    SELECT r, place, line, list_sort(list_distinct(regexp_extract_all({ascii_lower('line')}, '{BLANK}'))) AS s
+    FROM (SELECT r, unnest(lines) AS line, unnest(range(len(lines))) AS place FROM d)
+), classes AS MATERIALIZED (
+    SELECT s, len(s) AS n, min(r * 1000000 + place) AS first, row_number() OVER () AS c FROM l WHERE len(s) > 0 GROUP BY s
+), w AS MATERIALIZED (SELECT c, n, unnest(s) AS word FROM classes),
+often AS (SELECT word, count(*) AS k FROM w GROUP BY word),
+ranked AS MATERIALIZED (SELECT c, n, word, row_number() OVER (PARTITION BY c ORDER BY k, word) AS i FROM w JOIN often USING (word)),
+rare AS MATERIALIZED (SELECT c, n, word FROM ranked WHERE i <= n - ceil(0.8 * n - 1e-9) + 1),
+near AS MATERIALIZED (
+    SELECT DISTINCT a.c AS x, b.c AS y FROM rare AS a JOIN rare AS b
+    ON a.word = b.word AND a.c < b.c AND 10 * least(a.n, b.n) >= 8 * greatest(a.n, b.n)
+), matches AS MATERIALIZED (
+    SELECT p.first AS px, q.first AS py, x, y FROM near JOIN classes AS p ON p.c = x JOIN classes AS q ON q.c = y
+    WHERE 100 * len(list_intersect(p.s, q.s)) >= 80 * (p.n + q.n - len(list_intersect(p.s, q.s)))
+), gone AS (SELECT DISTINCT CASE WHEN px < py THEN y ELSE x END AS c FROM matches),
+judged AS (
+    SELECT l.r, l.place, l.line, classes.c IS NOT NULL AS counts,
+           classes.c IS NOT NULL AND (gone.c IS NOT NULL OR l.r * 1000000 + l.place <> classes.first) AS removed
+    FROM l LEFT JOIN classes ON l.s = classes.s LEFT JOIN gone ON gone.c = classes.c
+)
+SELECT any_value(doc_id) AS doc_id, count(*) FILTER (counts) AS n_lines, count(*) FILTER (removed) AS n_removed,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT removed), '')) AS kept_sha256
+FROM judged JOIN d USING (r) GROUP BY r
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_near_duplicates": OP3, "op9_winnowing": OP9}
+    return {"op3_near_duplicates": OP3, "op4_line_matches": OP4, "op9_winnowing": OP9}
