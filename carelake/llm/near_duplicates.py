@@ -7,9 +7,10 @@ A text's set holds its distinct shingles of ``shingle`` words (the whole sequenc
    shifted circularly by k, gives to the places. So two permutations make all ``COORDINATES``; a row of the shifted table
    is a run of memory. Each band of ``ROWS`` coordinates gives a bucket; at a similarity of 0.8 a pair shares none of the buckets with a chance of 3e-6.
 3. *Links.* Every candidate is confirmed on the full sets. Buckets are not turned into all their pairs: what is wanted is which classes hang
-   together. First every member is compared with the smallest of its bucket; then, in buckets that still hold several components, with the
-   member that has the most links; then, for what is still open, signatures are compared in blocks of bounded size and only
-   pairs of different components that agree on at least ``AGREE`` below the threshold are confirmed. No bucket is cut or sampled.
+   together. First every member is compared with the smallest of its bucket. In buckets that still hold several components, signatures are
+   compared in blocks of bounded size; members of different components that agree on at least ``AGREE`` below the threshold put
+   their components into one cluster, of which each task reports a spanning forest only. Blocks of a cluster's members are then compared on
+   full sets inside the tasks, which report the links that join components. No bucket is cut or sampled, and what is sent grows with the members, not with their pairs.
 4. *Components* by alternating stars over the links.
 
 Nulls and edges: null, empty and blank texts have no set: they are linked with nothing and are their own component. Rows that repeat a doc_id are
@@ -19,13 +20,14 @@ Ties go to the smaller doc_id. Empty tables give empty results; only the two nam
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carelake.llm.common import WordHashes, blank_words, gram_hashes, mixed, utf8
@@ -35,8 +37,8 @@ from carelake.plans.session import written
 PLACES = 1 << 20
 BANDS, ROWS = 24, 4
 COORDINATES = BANDS * ROWS
-AGREE = 0.2
-BLOCK = 512
+AGREE = 0.15
+BLOCK = 256
 SEED = 3
 
 
@@ -114,32 +116,93 @@ def confirmed(batches: Iterator[pa.RecordBatch], size: int, part: int, whole: in
         yield pa.RecordBatch.from_arrays([us.take(spots), vs.take(spots)], names=["u", "v"])
 
 
-def open_pairs(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
-    """Pairs of one block that lie in different components and agree on enough of their signatures."""
+@dataclass
+class Side:
+    """Members of one block."""
+
+    ids: np.ndarray
+    comps: np.ndarray
+    sizes: np.ndarray
+    signs: np.ndarray
+    texts: list[bytes]
+
+    @staticmethod
+    def of(members: list[dict]) -> Side:
+        return Side(
+            np.array([m["rep"] for m in members], np.int64), np.array([m["comp"] for m in members], np.int64),
+            np.array([m["n"] for m in members], np.int64),
+            np.frombuffer(b"".join(m["sign"] for m in members), np.uint8).reshape(len(members), COORDINATES),
+            [m.get("text") for m in members],
+        )
+
+
+def joined(left: Side, right: Side, least: float, sizes: float, test: Callable[[int, int], bool] | None) -> Iterator[tuple[int, int]]:
+    """Pairs of two blocks that join components, by signatures and, where given, by ``test``; each pair joins what was apart."""
+    names = np.unique(np.concatenate([left.comps, right.comps]))
+    now = names.copy()  # the joined component of each component
+    mine, theirs = np.searchsorted(names, left.comps), np.searchsorted(names, right.comps)
+    for i in range(len(left.ids)):
+        agree = (right.signs == left.signs[i]).mean(axis=1)
+        fits = (agree >= least) & (now[theirs] != now[mine[i]])
+        fits &= np.minimum(right.sizes, left.sizes[i]) >= sizes * np.maximum(right.sizes, left.sizes[i])
+        places = np.flatnonzero(fits)
+        for j in places[np.argsort(-agree[places], kind="stable")].tolist():
+            if now[theirs[j]] != now[mine[i]] and (test is None or test(i, j)):
+                now[now == now[theirs[j]]] = now[mine[i]]
+                yield i, j
+
+
+def pair_batch(left: np.ndarray, right: np.ndarray, pairs: Iterator[tuple[int, int]]) -> pa.RecordBatch:
+    found = list(pairs)
+    us, vs = [left[i] for i, _ in found], [right[j] for _, j in found]
+    return pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
+
+
+def close_pairs(batches: Iterator[pa.RecordBatch], part: int, whole: int) -> Iterator[pa.RecordBatch]:
+    """Per pair of blocks a spanning forest of the components that lie close by signature."""
     for batch in batches:
-        us, vs = [], []
-        for row in batch.to_pylist():
-            sides = []
-            for name in ("left", "right"):
-                members = row[name] or []
-                sides.append((
-                    np.array([m["rep"] for m in members], np.int64), np.array([m["comp"] for m in members], np.int64),
-                    np.frombuffer(b"".join(m["sign"] for m in members), np.uint8).reshape(len(members), COORDINATES),
-                    np.array([m["n"] for m in members], np.int64),
-                ))
-            (ids, comps, signs, ns), (ids2, comps2, signs2, ns2) = sides
-            for i in range(len(ids)):
-                close = (signs2 == signs[i]).mean(axis=1) >= least
-                close &= (comps2 != comps[i]) & (ids2 != ids[i])
-                close &= np.minimum(ns2, ns[i]) >= (least + AGREE) * np.maximum(ns2, ns[i]) - 1e-9
-                for j in np.flatnonzero(close).tolist():
-                    us.append(min(int(ids[i]), int(ids2[j])))
-                    vs.append(max(int(ids[i]), int(ids2[j])))
-        yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
+        for at in range(batch.num_rows):
+            row = batch.slice(at, 1).to_pylist()[0]
+            left, right = Side.of(row["left"]), Side.of(row["right"])
+            found = joined(left, right, part / whole - AGREE, (part - 0.001) / whole, None)
+            yield pair_batch(left.comps, right.comps, found)
+
+
+def linked_pairs(batches: Iterator[pa.RecordBatch], size: int, part: int, whole: int) -> Iterator[pa.RecordBatch]:
+    """Per pair of blocks the confirmed links that join components."""
+    hashes = WordHashes()
+    for batch in batches:
+        for at in range(batch.num_rows):
+            row = batch.slice(at, 1).to_pylist()[0]
+            left, right = Side.of(row["left"]), Side.of(row["right"])
+            sets = [[shingles(text, size, hashes) for text in side.texts] for side in (left, right)]
+            hashes.trim()
+
+            def test(i: int, j: int, sets: list = sets) -> bool:
+                a, b = sets[0][i], sets[1][j]
+                common = len(np.intersect1d(a, b, assume_unique=True))
+                return whole * common >= part * (len(a) + len(b) - common)
+
+            found = joined(left, right, part / whole - AGREE, (part - 0.001) / whole, test)
+            yield pair_batch(left.ids, right.ids, found)
+
+
+def block_pairs(rows: DataFrame, group: str, *more: str) -> DataFrame:
+    """Blocks of each group against each other: one row per pair of blocks, with the members of both."""
+    counts = rows.groupBy(group).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    dealt = rows.join(counts, group).withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    member = F.struct("rep", "comp", "n", "sign", *more)
+    dealt = dealt.select(
+        group, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+        F.when(F.col("own") <= F.col("other"), member).alias("l"), F.when(F.col("own") >= F.col("other"), member).alias("r"),
+    )
+    paired = dealt.groupBy(group, "i", "j").agg(F.collect_list("l").alias("left"), F.collect_list("r").alias("right"))
+    return paired.select("left", "right")
 
 
 class Linker:
-    """The links of one run: suspects' texts, tested pairs and the components so far."""
+    """Suspects, their texts and the components so far."""
 
     def __init__(self, docs: DataFrame, reps: DataFrame, size: int, part: int, whole: int):
         self.size, self.part, self.whole = size, part, whole
@@ -156,72 +219,39 @@ class Linker:
                 F.col("doc_id").alias("rep"), "text"
             ), "suspects",
         )
-        self.links: DataFrame | None = None
-        self.tested: DataFrame | None = None
         self.comps: DataFrame | None = None
 
-    def similar_sizes(self, a: Column, b: Column) -> Column:
-        return self.whole * F.least(a, b) >= self.part * F.greatest(a, b)
-
-    def confirm(self, pairs: DataFrame) -> None:
-        """Test the pairs (u < v) not tested yet, on full sets, and join up what they link."""
-        pairs = pairs.distinct()
-        if self.tested is not None:
-            pairs = pairs.join(self.tested, ["u", "v"], "left_anti")
-        pairs = written(pairs, "pairs")
-        size, part, whole = self.size, self.part, self.whole
-        rows = pairs.join(self.texts.select(F.col("rep").alias("v"), F.col("text").alias("other")), "v")
-        rows = rows.join(self.texts.select(F.col("rep").alias("u"), "text"), "u")
-        rows = rows.select("u", "v", "text", "other")
-        found = written(rows.mapInArrow(lambda it: confirmed(it, size, part, whole), "u long, v long"), "confirmed")
-        self.tested = pairs if self.tested is None else self.tested.unionByName(pairs)
-        self.links = found if self.links is None else self.links.unionByName(found)
-        known = found if self.comps is None else found.unionByName(self.comps)
-        self.comps = components(known)
-
-    def open_members(self) -> DataFrame:
-        """Members of buckets that still hold several components, with their component."""
-        labels = self.comps.select(F.col("u").alias("rep"), F.col("v").alias("comp"))
-        rows = self.members.select("bucket", "rep", "n").join(labels, "rep", "left")
-        rows = rows.withColumn("comp", F.coalesce("comp", "rep"))
-        several = rows.groupBy("bucket").agg(
-            F.min("comp").alias("least"), F.max("comp").alias("most"), F.count(F.lit(1)).alias("members")
-        ).where("least <> most")
-        return written(rows.join(several.select("bucket", "members"), "bucket"), "open")
-
     def by_smallest(self) -> None:
+        """Each bucket's members against its smallest."""
         rows = self.members.where(F.col("rep") != F.col("first.rep"))
-        rows = rows.where(self.similar_sizes(F.col("n"), F.col("first.n")))
-        self.confirm(rows.select(F.col("first.rep").alias("u"), F.col("rep").alias("v")))
-
-    def by_most_linked(self) -> None:
-        """The member with the most links of each open bucket against those of other components."""
-        rows = self.open_members()
-        ends = self.links.select(F.explode(F.array("u", "v")).alias("rep"))
-        degrees = ends.groupBy("rep").agg(F.count(F.lit(1)).alias("degree"))
-        ranked = rows.join(degrees, "rep", "left").groupBy("bucket").agg(
-            F.max_by(F.struct("rep", "n", "comp"), F.struct(F.coalesce("degree", F.lit(0)), -F.col("rep"))).alias("hub")
-        )
-        pairs = rows.join(ranked, "bucket").where(F.col("comp") != F.col("hub.comp"))
-        pairs = pairs.where(self.similar_sizes(F.col("n"), F.col("hub.n")))
-        self.confirm(pairs.select(F.least("rep", "hub.rep").alias("u"), F.greatest("rep", "hub.rep").alias("v")))
+        a, b = F.col("n"), F.col("first.n")
+        rows = rows.where(self.whole * F.least(a, b) >= self.part * F.greatest(a, b))
+        pairs = written(rows.select(F.col("first.rep").alias("u"), F.col("rep").alias("v")).distinct(), "pairs")
+        rows = pairs.join(self.texts.select(F.col("rep").alias("v"), F.col("text").alias("other")), "v")
+        rows = rows.join(self.texts.select(F.col("rep").alias("u"), "text"), "u").select("u", "v", "text", "other")
+        size, part, whole = self.size, self.part, self.whole
+        self.comps = components(rows.mapInArrow(lambda it: confirmed(it, size, part, whole), "u long, v long"))
+
+    def labelled(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with the component of each rep so far."""
+        labels = self.comps.select(F.col("u").alias("rep"), F.col("v").alias("comp"))
+        return rows.join(labels, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
 
     def by_blocks(self) -> None:
-        """What is still open: blocks of a bucket against each other, by signature first."""
-        least = self.part / self.whole - AGREE
-        rows = self.open_members().join(self.reps.select("rep", "sign"), "rep")
-        blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-        rows = rows.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-        rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        member = F.struct("rep", "comp", "sign", "n")
-        rows = rows.select(
-            "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-            F.when(F.col("own") <= F.col("other"), member).alias("l"), F.when(F.col("own") >= F.col("other"), member).alias("r"),
+        """What is still open in buckets of several components."""
+        size, part, whole = self.size, self.part, self.whole
+        rows = self.labelled(self.members.select("bucket", "rep", "n"))
+        several = rows.groupBy("bucket").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("bucket")
+        still = written(rows.join(several, "bucket", "left_semi"), "open").join(self.reps.select("rep", "sign"), "rep")
+        close = block_pairs(still, "bucket").mapInArrow(lambda it: close_pairs(it, part, whole), "u long, v long")
+        clusters = components(close)
+        named = clusters.select(F.col("u").alias("comp"), F.col("v").alias("cluster"))
+        named = named.union(clusters.select(F.col("v").alias("comp"), F.col("v").alias("cluster"))).distinct()
+        inside = still.dropDuplicates(["rep"]).join(named, "comp").join(self.texts, "rep")
+        found = block_pairs(inside, "cluster", "text").mapInArrow(
+            lambda it: linked_pairs(it, size, part, whole), "u long, v long"
         )
-        # A group holds two blocks at most.
-        paired = rows.groupBy("bucket", "i", "j").agg(F.collect_list("l").alias("left"), F.collect_list("r").alias("right"))
-        pairs = paired.select("left", "right").mapInArrow(lambda it: open_pairs(it, least), "u long, v long")
-        self.confirm(pairs)
+        self.comps = components(found.unionByName(self.comps))
 
 
 def near_duplicates(
@@ -245,7 +275,6 @@ def near_duplicates(
     ), "classes")
     linker = Linker(rows, classes.where("rep IS NOT NULL").drop("set_key"), shingle, part, whole)
     linker.by_smallest()
-    linker.by_most_linked()
     linker.by_blocks()
     named = classes.select("set_key", "rep").join(
         linker.comps.select(F.col("u").alias("rep"), F.col("v").alias("comp")), "rep", "left"
