@@ -3,7 +3,7 @@
 Base kinds are patterns, matched from the left without overlap; matches that are too short are dropped:
 ``assign`` (a sensitive name, a sign, a value), ``access`` (key ids with a fixed prefix) and ``hex`` (long hexadecimal runs).
 
-The method looks at every long run of key characters that has a sensitive word shortly before it (``REACH`` bytes). Its novelty is what
+The method looks at every long run of key characters with letters and digits among them that has a sensitive word shortly before it (``REACH`` bytes). Its novelty is what
 it adds to the compressed size of the text around it, per byte: zstandard is primed with a dictionary of code identifiers, and the
 context of ``CONTEXT`` bytes on either side is compressed without and with the run. Words, paths and identifiers are mostly
 found in the dictionary or nearby; random strings are not, and are reported as ``novel`` from ``NOVELTY`` on, unless a base
@@ -43,6 +43,7 @@ MARKERS = (
     b"client", b"connection", b"login",
 )
 RUN = re.compile(rb"[A-Za-z0-9+/_=.~-]{16,}")
+LETTER, DIGIT = re.compile(rb"[A-Za-z]"), re.compile(rb"[0-9]")
 REACH = 48
 CONTEXT = 256
 NOVELTY = 0.78
@@ -109,6 +110,8 @@ def novel_spans(
             continue
         if any(s < run.end() and run.start() < e for s, e in covers):  # a base span within the run
             continue
+        if not (LETTER.search(run[0]) and DIGIT.search(run[0])):
+            continue
         value = novelty(packer, text, run.start(), run.end())
         if value >= NOVELTY:
             found.append((run.start(), 3, run.end(), value))
