@@ -52,6 +52,7 @@ def parsed(value: str | Column, sql_type: str) -> Column:
 
 
 def numbered(prefix: str, number: Column, digits: int) -> Column:
-    """Prefix plus a zero-padded number; a longer number keeps its last ``digits`` digits."""
-    padded = F.concat(F.lit("0" * digits), number.cast("string"))
-    return F.concat(F.lit(prefix), F.right(padded, F.lit(digits)))
+    """Prefix plus a zero-padded number; a number of more digits keeps them all."""
+    text = number.cast("string")
+    zeros = F.repeat(F.lit("0"), F.greatest(F.lit(0), F.lit(digits) - F.length(text)))
+    return F.concat(F.lit(prefix), zeros, text)

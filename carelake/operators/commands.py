@@ -51,7 +51,7 @@ def spelled(column: str, domain: tuple[str, ...]) -> Column:
 
 def next_ids(rows: DataFrame, order: list[str], taken: DataFrame, id_column: str, prefix: str, digits: int) -> DataFrame:
     """``rows`` with ``id_column`` = prefix + (largest number in use + place in the order)."""
-    suffix = F.substring(id_column, len(prefix) + 1, digits)
+    suffix = F.substr(F.col(id_column), F.lit(len(prefix) + 1))
     used = F.when(F.col(id_column).startswith(prefix), parsed(suffix, "bigint"))
     largest = taken.select(F.coalesce(F.max(used), F.lit(0))).scalar()
     placed = with_position(rows, *order)

@@ -28,6 +28,9 @@ def local_session(cpus: int = 8, memory: str = "8g", **extra: str) -> SparkSessi
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(cpus))
+        # Small local files in several splits, so that all cores read.
+        .config("spark.sql.files.maxPartitionBytes", "4m")
+        .config("spark.sql.files.openCostInBytes", "1m")
     )
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)

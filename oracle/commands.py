@@ -13,9 +13,9 @@ def codes(*rules: tuple[str, str]) -> str:
 
 
 def new_id(prefix: str, digits: int, table: str, column: str, order: str) -> str:
-    used = f"""coalesce((SELECT max(TRY_CAST(substring({column}, {len(prefix) + 1}, {digits}) AS BIGINT)) FROM {{{table}}}
+    used = f"""coalesce((SELECT max(TRY_CAST(substring({column}, {len(prefix) + 1}) AS BIGINT)) FROM {{{table}}}
         WHERE regexp_full_match({column}, '{prefix}[0-9]+')), 0)"""
-    return f"'{prefix}' || right('{'0' * digits}' || CAST({used} + row_number() OVER (ORDER BY {order}) AS VARCHAR), {digits})"
+    return f"printf('{prefix}%0{digits}d', {used} + row_number() OVER (ORDER BY {order}))"
 
 
 VIEWS = {
@@ -120,4 +120,5 @@ def sql() -> dict[str, str]:
             SELECT approval_id, claim_id, reviewed_by, spelled AS approval_status, {AS_OF} AS approval_date, rejection_reason
             FROM {{review_ids}}""",
     }
+    texts["cmd_dispense_hot"] = texts["cmd_dispense"]  # the same commands, decided in the way of crowded keys
     return {key: with_views(text, VIEWS) for key, text in texts.items()}
