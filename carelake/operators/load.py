@@ -41,7 +41,7 @@ def core_value(column: Col, table: Table) -> Column:
     """The value the core table would store; NULL when it cannot be read."""
     text = staged_value(column)
     if column.name in table.key_columns:
-        return folded(text)
+        return F.nullif(folded(text), F.lit(""))  # a key of blanks equals the empty text, which is no key
     if column.via:
         text = parsed(text, "decimal(18,0)").try_cast(column.via).cast("string")
     elif column.type != "string":
@@ -52,12 +52,12 @@ def core_value(column: Col, table: Table) -> Column:
     return F.coalesce(text, F.lit(column.default)) if column.default else text
 
 
-def column_reasons(column: Col, check_widths: bool) -> list[Column]:
+def column_reasons(column: Col, table: Table, check_widths: bool) -> list[Column]:
     """One expression per rule of the column: its code when broken, else NULL."""
     name, text, value = column.name, F.col(STAGED + column.name), F.col(column.name)
     rules = []
     if column.required and not column.default:
-        rules.append((text.isNull(), "null"))
+        rules.append(((value if column.name in table.key_columns else text).isNull(), "null"))
     if (column.type != "string" or column.via) and not column.soft and not column.domain:
         rules.append((text.isNotNull() & value.isNull(), "cast"))
     bounds = [value < F.expr(column.low)] if column.low else []
@@ -116,7 +116,7 @@ def judged(staged: DataFrame, table: Table, core: Core, check_widths: bool = Tru
             same = reduce(Column.__and__, [F.col(n) == F.col("taken_" + n) for n in names])
             rows = rows.join(taken, same, "left")
 
-    broken = [r for c in table.columns for r in column_reasons(c, check_widths)] + row_reasons(table)
+    broken = [r for c in table.columns for r in column_reasons(c, table, check_widths)] + row_reasons(table)
     rows = rows.withColumn("reasons", F.array_compact(F.array(*broken)))
     outcome = (
         F.when(F.col("known_key").isNotNull(), "known")
@@ -257,5 +257,5 @@ def load_all(
             store.log(result.quarantined.withColumn("load_timestamp", moment(load_time)))
         except Exception as error:  # noqa: BLE001 - the failure unit is the table
             logger.warning("load of %s failed: %s", table.full_name, error)
-            row = [(load_time, table.full_name, None, [f"error:{type(error).__name__}"], str(error)[:2048])]
+            row = [(load_time, table.full_name, None, [f"error:{type(error).__name__}"], str(error))]
             store.log(store.spark.createDataFrame(row, LOG_SCHEMA))

@@ -16,7 +16,7 @@ def read_as(text: str, sql_type: str) -> str:
 
 
 def value(c: Col, table: Table) -> str:
-    text = f"s.{c.name}"
+    text = f"s_{c.name}"
     if c.currency:
         text = f"replace(replace(replace({text}, ',', ''), 'EGP', ''), 'egp', '')"
     if c.name in table.key_columns:
@@ -31,13 +31,15 @@ def value(c: Col, table: Table) -> str:
     return f"coalesce({text}, '{c.default}')" if c.default else text
 
 
-def broken(table: Table, parents: dict[str, str], own: str | None) -> list[tuple[str, str]]:
-    """(condition, code) for every rule; ``s`` is the staged row, ``t`` its core values."""
+def broken(
+    table: Table, parents: dict[str, str], own: str | None, check_widths: bool = False
+) -> list[tuple[str, str]]:
+    """(condition, code) for every rule; in row ``r``, ``s_`` columns are staged text and ``t_`` columns core values."""
     found = []
     for c in table.columns:
-        text, core = f"s.{c.name}", f"t.{c.name}"
+        text, core = f"r.s_{c.name}", f"r.t_{c.name}"
         if c.required and not c.default:
-            found.append((f"{text} IS NULL", f"null:{c.name}"))
+            found.append((f"{core if c.name in table.key_columns else text} IS NULL", f"null:{c.name}"))
         if (c.type != "string" or c.via) and not c.soft and not c.domain:
             found.append((f"{text} IS NOT NULL AND {core} IS NULL", f"cast:{c.name}"))
         bounds = [f"{core} < {c.low}"] if c.low else []
@@ -46,50 +48,55 @@ def broken(table: Table, parents: dict[str, str], own: str | None) -> list[tuple
             found.append((" OR ".join(bounds), f"range:{c.name}"))
         if c.domain:
             found.append((f"{text} IS NOT NULL AND {core} IS NULL", f"domain:{c.name}"))
+        if check_widths and c.width:
+            found.append((f"length(rtrim({core if c.via else text})) > {c.width}", f"length:{c.name}"))
     if table.differ:
-        found.append((f"t.{table.differ[0]} = t.{table.differ[1]}", "check:from_to"))
+        found.append((f"r.t_{table.differ[0]} = r.t_{table.differ[1]}", "check:from_to"))
     if table.one_of:
         a, b = table.one_of
-        found.append((f"(t.{a} IS NULL) = (t.{b} IS NULL)", "check:xor"))
+        found.append((f"(r.t_{a} IS NULL) = (r.t_{b} IS NULL)", "check:xor"))
     for r in table.refs:
         parent = parents[r.table]
         found.append((
-            f"t.{r.column} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {{{parent}}} p WHERE p.{r.key} = t.{r.column})",
+            f"r.t_{r.column} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {{{parent}}} p WHERE p.{r.key} = r.t_{r.column})",
             r.reason,
         ))
     if own:
         for names in table.uniques:
-            same = " AND ".join(f"p.{n} = t.{n}" for n in names)
+            same = " AND ".join(f"p.{n} = r.t_{n}" for n in names)
             found.append((f"EXISTS (SELECT 1 FROM {{{own}}} p WHERE {same})", "unique:" + "+".join(names)))
     return found
 
 
-def judged_text(table: Table, parents: dict[str, str], own: str | None) -> str:
-    """Staged row, core values, joined reasons and whether the key was loaded before."""
-    staged = ", ".join(f"nullif({c}, '') AS {c}" for c in table.column_names)
-    values = ", ".join(f"{value(c, table)} AS {c.name}" for c in table.columns)
-    codes = ", ".join(f"CASE WHEN {rule} THEN '{code}' END" for rule, code in broken(table, parents, own))
-    fields = ", ".join(f"'{c}': s.{c}" for c in table.column_names)
-    known = f"EXISTS (SELECT 1 FROM {{{own}}} k WHERE k.{table.key} = t.{table.key})" if own else "FALSE"
+def judged_text(table: Table, parents: dict[str, str], own: str | None, check_widths: bool = False) -> str:
+    """Core values, staged key, joined reasons, the staged row and whether the key was loaded before.
+
+    One pass: staged text and core values stand side by side in a row under names of their own.
+    """
+    staged = ", ".join(f"nullif({c}, '') AS s_{c}" for c in table.column_names)
+    values = ", ".join(f"{value(c, table)} AS t_{c.name}" for c in table.columns)
+    codes = ", ".join(
+        f"CASE WHEN {rule} THEN '{code}' END" for rule, code in broken(table, parents, own, check_widths)
+    )
+    fields = ", ".join(f"'{c}': r.s_{c}" for c in table.column_names)
+    known = f"EXISTS (SELECT 1 FROM {{{own}}} k WHERE k.{table.key} = r.t_{table.key})" if own else "FALSE"
     return f"""
-        SELECT {', '.join('t.' + c for c in table.column_names)},
-               s.{table.key} AS source_key,
+        SELECT {', '.join(f't_{c} AS {c}' for c in table.column_names)},
+               s_{table.key} AS source_key,
                concat_ws(',', {codes}) AS reasons,
                CAST(to_json({{{{{fields}}}}}) AS VARCHAR) AS raw_data,
                {known} AS known
-        FROM (SELECT row_number() OVER () AS n, {staged} FROM {{stg_{table.name}}}) s
-        JOIN (SELECT s.n, {values}
-              FROM (SELECT row_number() OVER () AS n, {staged} FROM {{stg_{table.name}}}) s) t ON t.n = s.n"""
+        FROM (SELECT *, {values} FROM (SELECT {staged} FROM {{stg_{table.name}}}) x) r"""
 
 
-def single_table(name: str) -> dict[str, str]:
+def single_table(name: str, check_widths: bool = False) -> dict[str, str]:
     """Extra views for one table's load onto a partly loaded core with clean parents."""
     table = BY_NAME[name]
     parents = {r.table: r.table for r in table.refs}
     return {
         f"stg_{name}": staged_text(table),
         f"before_{name}": in_core_text(table),
-        f"judged_{name}": judged_text(table, parents, f"before_{name}"),
+        f"judged_{name}": judged_text(table, parents, f"before_{name}", check_widths),
     }
 
 
@@ -99,10 +106,10 @@ def accepted_sql(name: str) -> str:
     return with_views(body, single_table(name))
 
 
-def quarantine_sql(name: str) -> str:
+def quarantine_sql(name: str, check_widths: bool = False) -> str:
     body = f"""SELECT '{BY_NAME[name].full_name}' AS target_table, source_key, reasons, raw_data
         FROM {{judged_{name}}} WHERE NOT known AND reasons <> ''"""
-    return with_views(body, single_table(name))
+    return with_views(body, single_table(name, check_widths))
 
 
 def cascade() -> dict[str, str]:
