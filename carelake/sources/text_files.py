@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 from datetime import datetime
 from functools import reduce
@@ -28,32 +29,60 @@ def read_delimited(
 ) -> DataFrame:
     """Staged rows of ``table``, with the time and file they came from.
 
-    A file is bound to the table by its header, so its column order does not matter and
-    columns the table does not have are ignored; columns the file lacks are NULL. Lines
-    with too many or too few fields keep their text in ``corrupt_record``. Files stay
-    splittable unless ``multi_line`` asks for line breaks inside quotes.
+    Every file is bound to the table by its own header, so its column order does not matter and
+    columns the table does not have are ignored; columns the file lacks are NULL. Files with
+    the same header are one scan. Lines with too many or too few fields keep their text in
+    ``corrupt_record``, and so do all lines of a file whose header names no column of the table.
+    Files stay splittable unless ``multi_line`` asks for line breaks inside quotes.
     """
     options = {
         "header": True, "sep": sep, "encoding": "UTF-8", "mode": "PERMISSIVE", "columnPruning": False,
         "quote": '"' if quoted else "", "escape": '"' if quoted else "\\", "multiLine": multi_line,
     }
-
-    def one(path: str) -> DataFrame:
-        header = spark.read.options(**options).csv(path).columns
-        fields = [T.StructField(name, T.StringType()) for name in [*header, CORRUPT]]
-        rows = spark.read.options(**options, columnNameOfCorruptRecord=CORRUPT).schema(T.StructType(fields)).csv(path)
-        source_of = {table.renamed.get(h.strip().lower(), h.strip().lower()): h for h in header}
+    origin = [moment(load_time).alias(SOURCE[0]), F.col("_metadata.file_path").alias(SOURCE[1])]
+
+    def bound(header: str, files: list[str]) -> DataFrame:
+        names = next(csv.reader([header], delimiter=sep, quoting=csv.QUOTE_MINIMAL if quoted else csv.QUOTE_NONE))
+        source_of = {table.renamed.get(n.strip().lower(), n.strip().lower()): i for i, n in enumerate(names)}
+        if not set(source_of) & set(table.column_names):
+            lines = spark.read.text(files)
+            nothing = [F.lit(None).cast("string").alias(c) for c in table.column_names]
+            return lines.select(*nothing, F.col("value").alias(CORRUPT), *origin)
+        fields = [T.StructField(f"c{i}", T.StringType()) for i in range(len(names))]
+        schema = T.StructType([*fields, T.StructField(CORRUPT, T.StringType())])
+        rows = spark.read.options(**options, columnNameOfCorruptRecord=CORRUPT).schema(schema).csv(files)
         columns = [
-            (F.col(f"`{source_of[c]}`") if c in source_of else F.lit(None).cast("string")).alias(c)
+            (F.col(f"c{source_of[c]}") if c in source_of else F.lit(None).cast("string")).alias(c)
             for c in table.column_names
         ]
-        return rows.select(
-            *columns, CORRUPT,
-            moment(load_time).alias(SOURCE[0]),
-            F.col("_metadata.file_path").alias(SOURCE[1]),
-        )
-
-    return reduce(DataFrame.unionByName, [one(p) for p in ([paths] if isinstance(paths, str) else paths)])
+        return rows.select(*columns, CORRUPT, *origin)
+
+    given = [paths] if isinstance(paths, str) else list(paths)
+    parts = []
+    while given:  # a path named twice is delivered twice
+        once = list(dict.fromkeys(given))
+        parts += [bound(header, files) for header, files in headers(spark, once).items()]
+        for path in once:
+            given.remove(path)
+    if not parts:
+        fields = [*table.column_names, CORRUPT]
+        empty = spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in fields]))
+        return empty.select(*fields, moment(load_time).alias(SOURCE[0]), F.lit("").alias(SOURCE[1]))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def headers(spark: SparkSession, paths: str | Sequence[str]) -> dict[str, list[str]]:
+    """The files under ``paths`` by their first line, in one distributed pass; a row per file reaches the driver."""
+    lines = spark.read.text(paths if isinstance(paths, str) else list(paths)).select(
+        F.regexp_replace(F.regexp_replace("value", "^\ufeff", ""), "\r$", "").alias("line"),
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("place"),
+    )
+    firsts = lines.filter("start = 0").groupBy("file").agg(F.min_by("line", "place").alias("header"))
+    found: dict[str, list[str]] = {}
+    for row in firsts.orderBy("header", "file").collect():
+        found.setdefault(row["header"], []).append(row["file"])
+    return found
 
 
 def read_csv(spark: SparkSession, paths, table: Table, load_time: datetime, **options) -> DataFrame:
