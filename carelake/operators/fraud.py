@@ -22,7 +22,6 @@ DOSES_PER_DAY = {
 }
 INFLATION_LIMIT = 20.0
 QUANTITY_LIMIT = 1.8
-IDS_PER_ROW = 1000
 
 
 def decimal(value: float) -> Column:
@@ -90,37 +89,30 @@ def dispensed_without_prescription(
     )
 
 
-def duplicate_claims(core: Core, claims: DataFrame, ids_per_row: int = IDS_PER_ROW) -> DataFrame:
-    """Patients and visits claimed more than once. Core allows one claim per visit, so the
-    rows to look at are staged ones.
-
-    Counting comes first and is partial in every task; only claims of a repeated pair are
-    read again for their ids. A pair with more than ``ids_per_row`` claims gets several
-    rows, each with the full count and sum and its own share of the ids: none is dropped
-    and no task gathers them all.
-    """
-    pair = ["patient_id", "visit_id"]
-    counted = (
-        claims.groupBy(*pair)
+def repeated_claims(claims: DataFrame) -> DataFrame:
+    """Patients and visits claimed more than once, with count and sum; partial in every task."""
+    return (
+        claims.groupBy("patient_id", "visit_id")
         .agg(F.count("claim_id").alias("claim_count"), F.sum("claim_amount").alias("total_claimed"))
         .filter(F.col("claim_count") > 1)
     )
-    share = F.pmod(F.xxhash64("claim_id"), F.ceil(F.col("claim_count") / F.lit(ids_per_row)))
-    listed = (
-        claims.select(*pair, "claim_id").join(counted, pair)
-        .withColumn("share", share)
-        # By share too: the join leaves all claims of a pair in one partition.
-        .repartition(*pair, "share")
-        .groupBy(*pair, "claim_count", "total_claimed", "share")
-        .agg(F.array_join(F.sort_array(F.collect_list("claim_id")), ", ").alias("claim_ids"))
-    )
+
+
+def duplicate_claims(core: Core, claims: DataFrame) -> DataFrame:
+    """One row per patient and visit claimed more than once. Core allows one claim per visit, so the rows to look at are staged ones."""
     patient = core["patient"].select("patient_id", person("first_name", "last_name").alias("patient_name"))
-    return listed.join(patient, "patient_id").select(
-        "patient_id", "patient_name", "visit_id", "claim_count", "total_claimed", "claim_ids",
+    return repeated_claims(claims).join(patient, "patient_id").select(
+        "patient_id", "patient_name", "visit_id", "claim_count", "total_claimed",
         F.lit("Duplicate Claim").alias("fraud_signal"),
     )
 
 
+def duplicate_claim_ids(claims: DataFrame) -> DataFrame:
+    """The claims behind ``duplicate_claims``, a row each, so that no list grows with the number of claims."""
+    pairs = repeated_claims(claims).select("patient_id", "visit_id")
+    return claims.select("patient_id", "visit_id", "claim_id").join(pairs, ["patient_id", "visit_id"])
+
+
 def expected_quantity() -> Column:
     doses = F.create_map(*[F.lit(x) for pair in DOSES_PER_DAY.items() for x in pair])
     return F.col("duration_days") * F.coalesce(doses[F.col("frequency")], F.lit(1))

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from carelake.core import Core
 from carelake.functions.figures import years_between
 from carelake.functions.text import folded_value, person
-from carelake.plans.session import written
 from carelake.schemas import SEVERITIES, core_spelling
 
 
@@ -26,7 +25,7 @@ def find_patient(core: Core, national_id: int | str, as_of: date) -> DataFrame:
     """``patient_by_national_id`` that raises when nobody has that number."""
     found = patient_by_national_id(core, national_id, as_of)
     if found.isEmpty():
-        raise LookupError("No patient found with this National ID.")
+        raise LookupError(f"national id {national_id} is not on file")
     return found
 
 
@@ -56,12 +55,11 @@ def patient_visit_history(core: Core, patient_id: str) -> DataFrame:
 def patient_prescription_history(core: Core, patient_id: str) -> DataFrame:
     """Every drug prescribed at one of the patient's visits.
 
-    The patient's prescriptions are written out first. Their exact size is then known, so
-    Spark broadcasts them past the item table when they fit and shuffles only when not.
+    The patient's few prescriptions are found first and joined to the items; adaptive execution broadcasts them when they fit.
     """
     visits = visits_of(core, patient_id).select("visit_id")
     scripts = core["prescription"].join(visits, "visit_id", "left_semi")
-    scripts = written(scripts.select("prescription_id", "prescription_date"), "patient-prescriptions")
+    scripts = scripts.select("prescription_id", "prescription_date")
     drug = core["drug"].select("drug_id", "drug_name", "generic_name")
     return (
         core["prescription_item"]

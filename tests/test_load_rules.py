@@ -27,7 +27,7 @@ GOOD = {
                 availability_status="Occupied"),
     "icu_status": dict(icu_status_id="I1", hospital_id="H001", occupied_beds="1", available_beds="2",
                        update_time="2025-01-05 10:00:00"),
-    "patient": dict(patient_id="PAT1", national_id="28307201137632", first_name="A", last_name="B", gender="Male",
+    "patient": dict(patient_id="PAT1", national_id="29001019876543", first_name="A", last_name="B", gender="Male",
                     birth_date="1983-07-20", blood_type="A+"),
     "drug_inventory": dict(inventory_id="V1", hospital_id="H001", drug_id="DR001", quantity_available="5",
                            reorder_level="2", expiration_date="2026-01-01"),
