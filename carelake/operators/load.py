@@ -90,18 +90,29 @@ def row_reasons(table: Table) -> list[Column]:
 def judged(staged: DataFrame, table: Table, core: Core, check_widths: bool = True, keep_raw: bool = False) -> DataFrame:
     """Every staged row with its core values, its reasons and its outcome.
 
-    References and uniqueness are left joins on the parent's key. Parents small enough for
-    Spark's broadcast threshold are broadcast; larger ones are sort-merge joined, where
-    adaptive execution splits a key that dominates the staged side. Only the text columns
-    travel through the joins; the JSON snapshot is made afterwards, for rejected rows.
+    The batch is written first, so its size is known. References and uniqueness are left joins
+    on the parent's key, and each parent is first reduced to the batch's own keys: a batch below
+    Spark's broadcast threshold is broadcast past the core table, which is then neither
+    shuffled nor sorted; a larger batch is sort-merge joined, where adaptive execution splits a key that
+    dominates. Only the text columns travel through the joins; the JSON snapshot is made
+    afterwards, for rejected rows.
     """
     rows = staged.select(
         *[F.nullif(F.col(c), F.lit("")).alias(STAGED + c) for c in table.column_names]
     ).withColumn("row_no", F.monotonically_increasing_id())
-    rows = rows.withColumns({c.name: core_value(c, table) for c in table.columns})
+    rows = written(rows.withColumns({c.name: core_value(c, table) for c in table.columns}), f"staged-{table.name}")
+    batch = rows
+
+    def found_in(stored: DataFrame, names: Mapping[str, str]) -> DataFrame:
+        """The values of ``names`` (stored column to batch column) that the batch has."""
+        known = stored.select(*[F.col(s).alias("k_" + b) for s, b in names.items()])
+        wanted = batch.select(*[F.col(b).alias("k_" + b) for b in names.values()]).dropna().distinct()
+        return known.join(wanted, ["k_" + b for b in names.values()], "left_semi")
 
     for ref in table.refs:
-        found = core[ref.table].select(F.col(ref.key).alias("found_" + ref.column))
+        found = found_in(core[ref.table], {ref.key: ref.column}).select(
+            F.col("k_" + ref.column).alias("found_" + ref.column)
+        )
         rows = rows.join(found, F.col(ref.column) == F.col("found_" + ref.column), "left")
     own = core[table.name] if table.name in core else None
     if own is None:
@@ -109,10 +120,10 @@ def judged(staged: DataFrame, table: Table, core: Core, check_widths: bool = Tru
         for names in table.uniques:
             rows = rows.withColumn("taken_" + names[0], F.lit(None).cast("string"))
     else:
-        keys = own.select(F.col(table.key).alias("known_key"))
+        keys = found_in(own, {table.key: table.key}).select(F.col("k_" + table.key).alias("known_key"))
         rows = rows.join(keys, F.col(table.key) == F.col("known_key"), "left")
         for names in table.uniques:
-            taken = own.select(*[F.col(n).alias("taken_" + n) for n in names])
+            taken = found_in(own, {n: n for n in names}).select(*[F.col("k_" + n).alias("taken_" + n) for n in names])
             same = reduce(Column.__and__, [F.col(n) == F.col("taken_" + n) for n in names])
             rows = rows.join(taken, same, "left")
 
