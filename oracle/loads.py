@@ -100,10 +100,10 @@ def single_table(name: str, check_widths: bool = False) -> dict[str, str]:
     }
 
 
-def accepted_sql(name: str) -> str:
+def accepted_sql(name: str, check_widths: bool = False) -> str:
     columns = ", ".join(BY_NAME[name].column_names)
     body = f"SELECT {columns} FROM {{judged_{name}}} WHERE NOT known AND reasons = ''"
-    return with_views(body, single_table(name))
+    return with_views(body, single_table(name, check_widths))
 
 
 def quarantine_sql(name: str, check_widths: bool = False) -> str:

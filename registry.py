@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from carelake.core import Core
 from carelake.operators import audits, claims, commands, fraud, hospitals, patients, pharmacy, views
 from carelake.operators.dispensing import FOLD_LIMIT
-from carelake.operators.load import load_all, validated_load
+from carelake.operators.load import load_all, load_files, validated_load
 from carelake.plans.session import scratch_folder
 from carelake.schemas import BY_NAME, TABLES
 from carelake.sources.command_batches import batch, dispense_commands
@@ -89,6 +89,22 @@ def ingest_tsv_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staged.select(*table.column_names)
 
 
+def load_from_files_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A delivered CSV file straight into a core table that already holds part of it, with the length rules on."""
+    core = driver_core(spark, sf_dir)
+    before = core.replaced(doctor=partly_loaded(core, "doctor"))
+    return load_files(spark, delivered(core, "doctor", ",", True), BY_NAME["doctor"], before, LOAD_TIME).accepted
+
+
+def load_repeated_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch that holds every row twice: the first of each key is accepted."""
+    core = driver_core(spark, sf_dir)
+    before = core.replaced(department=partly_loaded(core, "department"))
+    staged = staged_table(core, "department")
+    table = BY_NAME["department"]
+    return validated_load(staged.union(staged), table, before, on_duplicate="first", check_widths=False).accepted
+
+
 def load_all_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     staging, store = loaded_store(spark, sf_dir)
     return audits.load_summary(staging, store.core(), store.error_log())
@@ -193,6 +209,8 @@ def queries() -> dict[str, Query]:
     found.update({f"load_{t.name}": load_query(t.name) for t in TABLES})
     found.update({f"quarantine_{t.name}": quarantine_query(t.name) for t in TABLES})
     found.update({f"quarantine_{name}_widths": quarantine_query(name, True) for name in WITH_WIDTHS})
+    found["load_from_files"] = load_from_files_query
+    found["load_repeated"] = load_repeated_query
     found["ingest_csv"] = ingest_csv_query
     found["ingest_tsv"] = ingest_tsv_query
     found["load_all"] = load_all_query
@@ -207,6 +225,8 @@ def oracle_sql() -> dict[str, str]:
     found.update({f"load_{t.name}": loads.accepted_sql(t.name) for t in TABLES})
     found.update({f"quarantine_{t.name}": loads.quarantine_sql(t.name) for t in TABLES})
     found.update({f"quarantine_{name}_widths": loads.quarantine_sql(name, True) for name in WITH_WIDTHS})
+    found["load_from_files"] = loads.accepted_sql("doctor", True)
+    found["load_repeated"] = loads.accepted_sql("department")
     found["ingest_csv"] = loads.ingest_csv_sql()
     found["ingest_tsv"] = loads.staged_sql("patient")
     found["load_all"] = loads.load_all_sql()
