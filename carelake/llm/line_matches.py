@@ -45,10 +45,11 @@ def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words of a task by counter."""
     hashes, total = WordHashes(), np.zeros(COUNTERS, np.int64)
     for batch in batches:
-        for text in batch.column(0).to_pylist():
-            spots = (hashes.of(text.lower().split()) % np.uint64(COUNTERS)).astype(np.int64)
-            np.add.at(total, spots, 1)
-        hashes.trim()
+        texts = batch.column(0).to_pylist()
+        for first, last in batches_of(map(len, texts), SLICE_BYTES):
+            words = [word for text in texts[first:last] for word in text.lower().split()]
+            total += np.bincount((hashes.of(words) % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
+            hashes.trim()
     used = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["spot", "n"])
 
@@ -78,13 +79,17 @@ def line_sets(texts: list[bytes], rank: np.ndarray, hashes: WordHashes) -> Itera
         values = hashes.of(words)
         hashes.trim()
         key = (rank[(values % np.uint64(COUNTERS)).astype(np.int64)] << np.uint64(HASH_BITS)) | (mixed(values) >> np.uint64(64 - HASH_BITS))
-        line = np.repeat(np.arange(len(sizes)), sizes)
-        order = np.lexsort((key, line))
-        key, line = key[order], line[order]
+        line = np.repeat(np.arange(len(sizes), dtype=np.uint64), sizes)
+        if len(sizes) < 1 << (64 - RANK_BITS - HASH_BITS):  # line and key fit one number
+            both = np.sort((line << np.uint64(RANK_BITS + HASH_BITS)) | key)
+            line, key = both >> np.uint64(RANK_BITS + HASH_BITS), both & np.uint64((1 << (RANK_BITS + HASH_BITS)) - 1)
+        else:
+            order = np.lexsort((key, line))
+            key, line = key[order], line[order]
         own = np.ones(len(key), bool)
         own[1:] = (key[1:] != key[:-1]) | (line[1:] != line[:-1])
         key, line = key[own], line[own]
-        starts = np.searchsorted(line, np.arange(len(sizes)))
+        starts = np.searchsorted(line, np.arange(len(sizes), dtype=np.uint64))
         yield np.array(owners), np.array(places), key, starts, np.diff(np.append(starts, len(key)))
 
 
@@ -169,11 +174,18 @@ def pairs_of(batches: Iterator[pa.RecordBatch], part: int, whole: int, partners:
         carried = [c[last] for c in columns]
 
 
-def full_sets(batches: Iterator[pa.RecordBatch], rank: np.ndarray, wanted: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Word keys of the sets that ``wanted``, a bitmap over set keys, lets through; each once in a slice."""
+def full_sets(
+    batches: Iterator[pa.RecordBatch], rank: np.ndarray, texts: np.ndarray, wanted: np.ndarray
+) -> Iterator[pa.RecordBatch]:
+    """Word keys of the sets that ``wanted`` lets through, from the texts that ``texts`` lets through; each once in a slice.
+
+    Both are bitmaps, over set keys and text keys.
+    """
     hashes = WordHashes()
     for batch in batches:
-        for _, _, key, starts, sizes in line_sets(batch.column(0).to_pylist(), rank, hashes):
+        held = texts[(batch.column(1).to_numpy().view(np.uint64) % np.uint64(len(texts))).astype(np.int64)]
+        chosen_texts = batch.column(0).filter(pa.array(held)).to_pylist()
+        for _, _, key, starts, sizes in line_sets(chosen_texts, rank, hashes):
             set_key = mixed(np.add.reduceat(mixed(key), starts) ^ sizes.astype(np.uint64))
             once = np.zeros(len(sizes), bool)
             once[np.unique(set_key, return_index=True)[1]] = True
@@ -188,6 +200,14 @@ def full_sets(batches: Iterator[pa.RecordBatch], rank: np.ndarray, wanted: np.nd
 FILTER_BITS = 1 << 20
 
 
+def bits_of(rows: DataFrame, column: str) -> np.ndarray:
+    """A bitmap of the column's numbers, for dropping most of the others early. At most FILTER_BITS numbers reach the driver."""
+    spots = rows.select(F.pmod(F.col(column), F.lit(FILTER_BITS)).alias("spot")).distinct().toArrow()
+    found = np.zeros(FILTER_BITS, bool)
+    found[spots.column("spot").to_numpy()] = True  # 2^64 is a multiple of FILTER_BITS, so the sign does not matter
+    return found
+
+
 class Matcher:
     """One run over a table: its lines and classes, and what was found to match."""
 
@@ -224,12 +244,11 @@ class Matcher:
     def verified(self, pairs: DataFrame) -> DataFrame:
         """Pairs (u, v) that match on the full sets."""
         ends = pairs.select(F.explode(F.array("u", "v")).alias("set_key")).distinct()
-        spot = F.pmod(F.col("set_key"), F.lit(FILTER_BITS))
-        wrap, bitmap = (1 << 64) % FILTER_BITS, np.zeros(FILTER_BITS, bool)
-        for row in ends.select(spot.alias("spot"), (F.col("set_key") < 0).alias("negative")).distinct().collect():
-            bitmap[(row["spot"] + wrap * row["negative"]) % FILTER_BITS] = True  # at most FILTER_BITS numbers
-        rank = self.rank
-        sets = self.rows.select("text").mapInArrow(lambda it: full_sets(it, rank, bitmap), "set_key long, words array<bigint>")
+        ends = written(ends.join(self.classes.select("set_key", F.col("first.text_key").alias("text_key")), "set_key"), "line-ends")
+        rank, wanted, texts = self.rank, bits_of(ends, "set_key"), bits_of(ends, "text_key")
+        sets = self.rows.select("text", "text_key").mapInArrow(
+            lambda it: full_sets(it, rank, texts, wanted), "set_key long, words array<bigint>"
+        )
         sets = sets.join(ends, "set_key", "left_semi").groupBy("set_key").agg(F.first("words").alias("words"))
         sets = written(sets, "line-sets")
         both = pairs.select("u", "v").distinct().join(sets.select(F.col("set_key").alias("u"), F.col("words").alias("a")), "u")
