@@ -35,7 +35,7 @@ def brute(text):
 def check(df):
     own = F.col("licenses")
     rows = licenses.scanned(df).select(
-        "text", own["n_words"], F.size(own["base"]), F.array_min(own["base.place"]), F.array_max(own["base.place"]),
+        "text", own["n_words"], F.size(own["base"]), F.array_min(own["base"]["place"]), F.array_max(own["base"]["place"]),
         own["base_labels"], own["labels"], own["score"],
     ).collect()
     for text, *found in rows:
