@@ -7,7 +7,7 @@ fitted model is one table of ``BUCKETS`` rows and a column per language; whole t
 
 Fitting: at most ``rows_per_language`` rows of each language and ``sample_rows`` rows in all, the first in the order of a hash, so
 that reruns agree. Each text is cut whole into pieces of doubling length, which teaches short texts too. Stochastic gradient
-descent runs in numpy on three quarters of these rows. The last quarter calibrates: it sets the temperature that
+descent runs in numpy, in one task, on three quarters of these rows. The last quarter calibrates: it sets the temperature that
 makes probabilities agree with how often they are right. A prediction whose calibrated probability is below ``least`` is rejected; at
 the default of one half these are the texts whose prediction is more likely wrong than right.
 
@@ -18,6 +18,7 @@ answers. Other columns pass unread; ``predicted`` replaces a column of the resul
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -106,6 +107,7 @@ def softmax(x: np.ndarray) -> np.ndarray:
 
 
 PIECES = "lang string, calibrate boolean, ids binary, counts binary"
+BAG = pa.schema([("lang", pa.string()), ("calibrate", pa.bool_()), ("ids", pa.binary()), ("counts", pa.binary())])
 
 
 def pieces(text: bytes) -> list[bytes]:
@@ -177,7 +179,7 @@ def descend(
             spots = np.concatenate(spans)
             owner = np.repeat(np.arange(len(picked)), sizes)
             cuts = np.cumsum([0, *sizes])[:-1]
-            rows, share = ids[spots], weights[spots, None]
+            rows, share = ids[spots].astype(np.int64), weights[spots, None]
             hidden = np.add.reduceat(embedding[rows] * share, cuts, axis=0)
             error = softmax(hidden @ output).astype(np.float32)
             error[np.arange(len(picked)), target[picked]] -= 1
@@ -202,35 +204,52 @@ def calibration(logits: np.ndarray, target: np.ndarray) -> float:
     return min((float(t) for t in np.geomspace(0.1, 10, 41)), key=loss)
 
 
+MODEL = "languages array<string>, logits binary, temperature double"
+
+
+def learned(batches: Iterator[pa.RecordBatch], **descent) -> Iterator[pa.RecordBatch]:
+    """The model of a whole sample, as one row."""
+    sample = pa.Table.from_batches(list(batches), schema=BAG)
+    labels = sample.column("lang").to_pylist()
+    languages = sorted(set(labels), key=lambda x: x.encode())
+    logits, temperature = np.zeros((BUCKETS, len(languages)), np.float32), 1.0
+    if languages:
+        ids = [np.frombuffer(x.as_buffer(), "<u2") for x in sample.column("ids")]  # views, not copies
+        counts = [np.frombuffer(x.as_buffer(), "<f4") for x in sample.column("counts")]
+        target = np.array([languages.index(x) for x in labels])
+        held = np.array(sample.column("calibrate").to_pylist(), bool)
+        if held.all():
+            held[:] = False
+        # The rows come in no fixed order; the descent needs one.
+        order = sorted(range(len(ids)), key=lambda i: (labels[i].encode(), len(ids[i]), zlib.crc32(ids[i]), zlib.crc32(counts[i])))
+        train, test = [i for i in order if not held[i]], [i for i in order if held[i]]
+        flat, weights = np.concatenate([ids[i] for i in train]), np.concatenate([counts[i] for i in train])
+        sizes = np.array([len(ids[i]) for i in train])
+        starts = np.cumsum(sizes) - sizes
+        weights /= np.repeat(np.add.reduceat(weights, starts), sizes)
+        logits = descend(flat, weights, starts, target[train], len(languages), **descent)
+        known = np.array([(logits[ids[i].astype(np.int64)] * counts[i][:, None]).sum(0) / counts[i].sum() for i in test])
+        temperature = calibration(known.reshape(len(test), len(languages)), target[test])
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([languages], pa.list_(pa.string())), pa.array([logits.astype("<f4").tobytes()], pa.binary()), pa.array([temperature])],
+        names=["languages", "logits", "temperature"],
+    )
+
+
 def fit(
     docs: DataFrame, text: str = "text", lang: str = "lang",
     rows_per_language: int = ROWS_PER_LANGUAGE, sample_rows: int = SAMPLE_ROWS, least: float = LEAST, **descent,
 ) -> LanguageModel:
-    """Learn from the labelled rows of ``docs``; the sample's subword counts, not its texts, reach the driver."""
-    sample = sampled(docs, text, lang, rows_per_language, sample_rows).mapInArrow(bags, PIECES).toArrow()
-    labels = sample.column("lang").to_pylist()
-    languages = sorted(set(labels), key=lambda x: x.encode())
-    if not languages:
+    """Learn from the labelled rows of ``docs``. One task descends over the bounded sample; the driver gets the model alone."""
+    sample = sampled(docs, text, lang, rows_per_language, sample_rows).mapInArrow(bags, PIECES)
+    rows = sample.repartition(1).mapInArrow(lambda it: learned(it, **descent), MODEL).collect()
+    row = next((r for r in rows if r["languages"]), None)
+    if row is None:
         return LanguageModel([], np.zeros((BUCKETS + 1, 1), np.float32), 1.0, least)
-    ids = [np.frombuffer(x.as_py(), "<u2") for x in sample.column("ids")]
-    counts = [np.frombuffer(x.as_py(), "<f4") for x in sample.column("counts")]
-    target = np.array([languages.index(x) for x in labels])
-    held = np.array(sample.column("calibrate").to_pylist(), bool)
-    if held.all():
-        held[:] = False
-    # The rows come in no fixed order; the descent needs one.
-    order = sorted(range(len(ids)), key=lambda i: (labels[i].encode(), ids[i].tobytes(), counts[i].tobytes()))
-    train = [i for i in order if not held[i]]
-    flat = np.concatenate([ids[i] for i in train]).astype(np.int64)
-    weights = np.concatenate([counts[i] / counts[i].sum() for i in train]).astype(np.float32)
-    starts = np.cumsum([0, *(len(ids[i]) for i in train)])[:-1]
-    logits = descend(flat, weights, starts, target[train], len(languages), **descent)
-    table = np.zeros((BUCKETS + 1, len(languages) + 1), np.float32)
-    table[1:, :-1], table[1:, -1] = logits, 1
-    test = [i for i in order if held[i]]
-    known = np.array([(logits[ids[i].astype(np.int64)] * counts[i][:, None]).sum(0) / counts[i].sum() for i in test])
-    temperature = calibration(known.reshape(len(test), len(languages)), target[test])
-    return LanguageModel(languages, table, temperature, least)
+    table = np.zeros((BUCKETS + 1, len(row["languages"]) + 1), np.float32)
+    table[1:, :-1] = np.frombuffer(row["logits"], "<f4").reshape(BUCKETS, -1)
+    table[1:, -1] = 1
+    return LanguageModel(row["languages"], table, row["temperature"], least)
 
 
 RESULT = pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("rejected", pa.bool_())])

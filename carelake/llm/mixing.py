@@ -25,7 +25,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -85,15 +84,17 @@ def block_of(key: Column, blocks: Column) -> Column:
     return F.pmod(F.xxhash64(key), blocks)
 
 
-def cut(rows: pd.DataFrame) -> pd.DataFrame:
+def cut(rows: pa.Table) -> pa.Table:
     """Documents of one block, from large to small, as long as they fit what is missing."""
-    rows = rows.sort_values(["size", "key"], ascending=[False, True], kind="stable")
-    gap, chosen = float(rows["gap"].iloc[0]), []
-    for key, size in zip(rows["key"].tolist(), rows["size"].tolist(), strict=True):
+    gap, chosen = rows.column("gap")[0].as_py(), []
+    sizes = sorted(zip(rows.column("size").to_pylist(), rows.column("key").to_pylist(), strict=True), key=lambda r: (-r[0], r[1]))
+    for size, key in sizes:
         if 0 < size <= gap:
             gap -= size
             chosen.append(key)
-    return pd.DataFrame({"s": [int(rows["s"].iloc[0])], "block": [int(rows["block"].iloc[0])], "chosen": [chosen]})
+    return pa.table({
+        "s": rows.column("s").slice(0, 1), "block": rows.column("block").slice(0, 1), "chosen": pa.array([chosen], pa.list_(pa.int64())),
+    })
 
 
 def split(totals: np.ndarray, shards: int, shard: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -160,7 +161,7 @@ def planned(
     # At most one block of each source stands at the target.
     edges = blocks.where(~F.col("whole") & (F.col("gap") > 0)).select("s", "block", "gap")
     inside = placed.groupBy("s", "block", "key").agg(F.sum("size").alias("size")).join(edges, ["s", "block"])
-    chosen = inside.groupBy("s", "block").applyInPandas(cut, "s int, block long, chosen array<bigint>")
+    chosen = inside.groupBy("s", "block").applyInArrow(cut, "s int, block long, chosen array<bigint>")
     again = F.explode(F.sequence(F.lit(1), F.col("passes") + F.col("whole").cast("int"))).alias("pass")
     several = blocks.where((F.col("passes") + F.col("whole").cast("int")) > 0).select(
         "s", "block", again, F.lit(None).cast("array<bigint>").alias("chosen")
