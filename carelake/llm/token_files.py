@@ -15,6 +15,8 @@ documents, ordered by a hash of their text. An empty table gives a file without
 
 from __future__ import annotations
 
+import gc
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,11 +26,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from carelake.llm.common import utf8
+from carelake.llm.common import batches_of, utf8
 
 BLOCK_IDS = 1 << 16
 SEGMENT_IDS = 1 << 19
 LEVEL = 1
+SLICE_BYTES = 4 << 20
+MARKS = b"!#$%&()*+,-./:;=?@[]^_{|}~"  # ASCII marks without quotes, which may begin an ending, and without < and >
 PLANES = 4
 INDEX_TYPE = "array<struct<n:int,p0:int,p1:int,p2:int,p3:int>>"
 SEGMENT_SCHEMA = (
@@ -64,17 +68,19 @@ def from_planes(index: list[dict], payload: bytes) -> np.ndarray:
 
 
 class WordIds(dict):
-    """Ids of a blank-free piece of text as little-endian 32-bit bytes, remembered up to a bound.
+    """Ids of a blank-free piece of text as little-endian 32-bit bytes, remembered up to twice ``LIMIT``.
 
     The tokenizer drops white space and never joins pieces across it, so a text's ids are those of its pieces. New pieces
     of a batch are encoded together, with a special token of the vocabulary between them.
     """
 
-    LIMIT = 800_000
+    LIMIT = 350_000
     TOGETHER = 256
 
     def __init__(self, path: str):
         super().__init__()
+        self.older: dict[bytes, bytes] = {}
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -82,44 +88,80 @@ class WordIds(dict):
         self.mark_id, self.mark = max(special)
         self.opening = {t.encode()[:2] for _, t in special}
         self.starts = {t[0] for _, t in special}
+        names = self.tokenizer.get_vocab()
+        self.ending = np.zeros(max(names.values()) + 1, bool)  # ids that end a word
+        self.ending[[i for t, i in names.items() if t.endswith("</w>")]] = True
 
     def lowered(self, text: bytes) -> bytes:
         """The tokenizer lower-cases anyway; doing so first halves the pieces. Special tokens keep their case."""
         return text if any(x in text for x in self.opening) else text.lower()
 
-    def plain(self, piece: str) -> bool:
-        return not any(c in piece for c in self.starts)
+    def parts(self, piece: bytes) -> tuple[bytes, bytes]:
+        """A piece and the ASCII marks at its end, which the tokenizer always cuts off after an ASCII letter or digit."""
+        core = piece.rstrip(MARKS)
+        if core and len(core) < len(piece) and core[-1:].isalnum():
+            return core, piece[len(core) :]
+        return piece, b""
 
     def learn(self, pieces: set[bytes]) -> None:
         new = [p for p in pieces if p not in self]
-        if len(self) + len(new) > self.LIMIT:
+        if len(self) + len(new) > self.LIMIT:  # what was not met since the last turn is forgotten
+            self.older = dict(self)
             self.clear()
             new = list(pieces)
+        for p in new:
+            if p in self.older:
+                self[p] = self.older[p]
+        new = [p for p in new if p not in self]
+        cut = [(p, *self.parts(p)) for p in new]
+        wanted = {core for _, core, _ in cut}
+        wanted.update(end for _, _, end in cut if end)
+        self.encode([p for p in wanted if p not in self])
+        for piece, core, end in cut:
+            if end:
+                self[piece] = self[core] + self[end]
+
+    def encode(self, new: list[bytes]) -> None:
+        """Learn pieces: lower-case words side by side, others with a special token between, those that may hold one alone."""
         words = [p.decode("utf-8", "replace") for p in new]
-        together = [i for i, w in enumerate(words) if self.plain(w)]
-        groups = [together[i : i + self.TOGETHER] for i in range(0, len(together), self.TOGETHER)]
-        joined = self.tokenizer.encode_batch_fast(
-            [self.mark.join(words[i] for i in g) for g in groups], add_special_tokens=False
-        )
-        for group, encoded in zip(groups, joined, strict=True):
-            ids = np.array(encoded.ids, "<u4")
-            cuts = np.flatnonzero(ids == self.mark_id)
-            raw, ends = ids.tobytes(), (*(cuts * 4).tolist(), len(ids) * 4)
-            start = 0
-            for i, end in zip(group, ends, strict=True):
-                self[new[i]] = raw[start:end]
-                start = end + 4
-        for i in set(range(len(new))) - set(together):
+        simple = [i for i, w in enumerate(words) if w.isalpha() and w.islower()]
+        rest = [i for i, w in enumerate(words) if not (w.isalpha() and w.islower())]
+        marked = [i for i in rest if not any(c in words[i] for c in self.starts)]
+        alone = [*(i for i in rest if any(c in words[i] for c in self.starts)), *self.together(new, words, simple, " ")]
+        alone += self.together(new, words, marked, self.mark)
+        for i in alone:
             ids = self.tokenizer.encode(words[i], add_special_tokens=False).ids
             self[new[i]] = np.array(ids, "<u4").tobytes()
 
+    def together(self, new: list[bytes], words: list[str], chosen: list[int], between: str) -> list[int]:
+        """Encode in groups and cut at the marks, or after ids that end a word; returns what could not be told apart."""
+        groups = [chosen[i : i + self.TOGETHER] for i in range(0, len(chosen), self.TOGETHER)]
+        texts = [between.join([words[i] for i in g]) for g in groups]
+        found, gap = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), 4 * (between != " ")
+        unclear = []
+        for group, encoded in zip(groups, found, strict=True):
+            ids = np.array(encoded.ids, "<u4")
+            ends = np.flatnonzero(ids == self.mark_id) * 4 if gap else np.flatnonzero(self.ending[ids])[:-1] * 4 + 4
+            if len(ends) != len(group) - 1:
+                unclear += group
+                continue
+            raw, start = ids.tobytes(), 0
+            for i, end in zip(group, (*ends.tolist(), len(raw)), strict=True):
+                self[new[i]] = raw[start:end]
+                start = end + gap
+        return unclear
+
     def texts(self, texts: list[bytes]) -> Iterator[bytes]:
-        """Ids of each text. Long lists are taken in slices, so that what is remembered covers one slice."""
-        for start in range(0, len(texts), 512):
-            split = [self.lowered(t).split() for t in texts[start : start + 512]]
-            self.learn(set().union(*split))
-            for pieces in split:
-                yield b"".join(map(self.__getitem__, pieces))
+        """Ids of each text. Long lists are taken in slices, so that what is held at once stays bounded."""
+        for start, end in batches_of(map(len, texts), SLICE_BYTES):
+            gc.disable()  # nothing here is cyclic, and each collection would walk the whole memory
+            try:
+                split = [self.lowered(t).split() for t in texts[start:end]]
+                self.learn(set().union(*split))
+                found = [b"".join(map(self.__getitem__, pieces)) for pieces in split]
+            finally:
+                gc.enable()
+            yield from found
 
 
 _encoders: dict[str, WordIds] = {}
