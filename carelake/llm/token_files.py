@@ -109,10 +109,14 @@ class WordIds(dict):
             self.older = dict(self)
             self.clear()
             new = list(pieces)
+        older, unknown = self.older, []
         for p in new:
-            if p in self.older:
-                self[p] = self.older[p]
-        new = [p for p in new if p not in self]
+            known = older.get(p)
+            if known is None:
+                unknown.append(p)
+            else:
+                self[p] = known
+        new = unknown
         cut = [(p, *self.parts(p)) for p in new]
         wanted = {core for _, core, _ in cut}
         wanted.update(end for _, _, end in cut if end)
@@ -124,8 +128,9 @@ class WordIds(dict):
     def encode(self, new: list[bytes]) -> None:
         """Learn pieces: lower-case words side by side, others with a special token between, those that may hold one alone."""
         words = [p.decode("utf-8", "replace") for p in new]
-        simple = [i for i, w in enumerate(words) if w.isalpha() and w.islower()]
-        rest = [i for i, w in enumerate(words) if not (w.isalpha() and w.islower())]
+        simple, rest = [], []
+        for i, word in enumerate(words):
+            (simple if word.isalpha() and word.islower() else rest).append(i)
         marked = [i for i in rest if not any(c in words[i] for c in self.starts)]
         alone = [*(i for i in rest if any(c in words[i] for c in self.starts)), *self.together(new, words, simple, " ")]
         alone += self.together(new, words, marked, self.mark)
