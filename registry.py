@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,12 +50,10 @@ def quarantine_query(name: str, check_widths: bool = False) -> Query:
     return run
 
 
-def loaded_store(
-    spark: SparkSession, sf_dir: str, names: Sequence[str] = tuple(BY_NAME)
-) -> tuple[dict[str, DataFrame], CoreStore]:
-    """Staged tables loaded into an empty store; every query loads its own."""
+def loaded_store(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], CoreStore]:
+    """All staged tables loaded into an empty store; every query loads its own."""
     core = driver_core(spark, sf_dir)
-    staging = {name: staged_table(core, name) for name in names}
+    staging = {t.name: staged_table(core, t.name) for t in TABLES}
     store = CoreStore(spark, f"{scratch_folder(spark)}/core-{uuid.uuid4().hex}")
     load_all(staging, store, LOAD_TIME, check_widths=False)
     return staging, store
@@ -111,16 +109,15 @@ def load_all_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def row_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = audits.row_counts(loaded_store(spark, sf_dir, loads.AUDITED)[1].core())
-    return counts.filter(F.col("table_name").isin(*loads.AUDITED))
+    return audits.row_counts(loaded_store(spark, sf_dir)[1].core())
 
 
 def errors_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audits.errors(loaded_store(spark, sf_dir, loads.AUDITED)[1].error_log())
+    return audits.errors(loaded_store(spark, sf_dir)[1].error_log())
 
 
 def pending_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staging, store = loaded_store(spark, sf_dir, loads.AUDITED)
+    staging, store = loaded_store(spark, sf_dir)
     return audits.pending(staging, store.core())
 
 
