@@ -6,7 +6,9 @@ which nothing is left over is the largest of the levels that each prefix of stop
 
 Blocks. A source's documents are dealt by hash into blocks of about ``block_words`` words (and documents). The source is taken
 whole as often as its target allows, and in one more pass its permuted blocks up to the target. The block at the
-target is cut: documents from large to small, as long as they fit. These draws are the exact block quotas.
+target is cut: documents from large to small, as long as they fit. What is still missing goes on to the following blocks: those of their documents that
+fit are summed up in the permuted order, up to the block that is cut next, until no later document fits. Every such round at least halves what is missing. These draws
+are the exact block quotas.
 
 Tree. Output shards hold equal numbers of draws. A node splits its quotas among the halves of its shards by a multivariate
 hypergeometric draw seeded by the node, so each shard walks from the root to its own quotas alone, and along the way learns how many draws of each
@@ -84,6 +86,9 @@ def block_of(key: Column, blocks: Column) -> Column:
     return F.pmod(F.xxhash64(key), blocks)
 
 
+CUT = "s int, block long, upto long, left double, chosen array<bigint>"
+
+
 def cut(rows: pa.Table) -> pa.Table:
     """Documents of one block, from large to small, as long as they fit what is missing."""
     gap, chosen = rows.column("gap")[0].as_py(), []
@@ -92,9 +97,39 @@ def cut(rows: pa.Table) -> pa.Table:
         if 0 < size <= gap:
             gap -= size
             chosen.append(key)
-    return pa.table({
-        "s": rows.column("s").slice(0, 1), "block": rows.column("block").slice(0, 1), "chosen": pa.array([chosen], pa.list_(pa.int64())),
-    })
+    one = [rows.column(name).slice(0, 1) for name in ("s", "block", "upto")]
+    return pa.table([*one, pa.array([gap], pa.float64()), pa.array([chosen], pa.list_(pa.int64()))], names=["s", "block", "upto", "left", "chosen"])
+
+
+def filled_up(placed: DataFrame, blocks: DataFrame, chosen: DataFrame) -> DataFrame:
+    """s, block and chosen (null for a whole block) of what is drawn up to the targets; ``chosen`` comes from the first cut blocks."""
+    columns = ["s", "block", "chosen"]
+    found = chosen.where(F.size("chosen") > 0).select(*columns)
+    edge = lambda cuts: cuts.where("left > 0").select("s", F.col("upto").alias("at"), F.col("left").alias("gap"))
+    state = edge(chosen)  # a row per source
+    rows = placed.select("s", "block", "key", "size").join(blocks.select("s", "block", "upto", "words"), ["s", "block"])
+    fits = (F.col("upto") > F.col("at")) & (F.col("size") > 0) & (F.col("size") <= F.col("gap"))
+    # A row that does not fit is part of no document that fits.
+    rows = rows.join(state, "s").where(fits).groupBy("s", "block", "key", "upto", "words").agg(F.sum("size").alias("size"))
+    while True:
+        later = written(rows.join(state, "s").where(fits).drop("at", "gap"), "later")
+        if later.isEmpty():
+            return found
+        sums = later.groupBy("s", "block", "upto", "words").agg(F.sum("size").alias("fit"))
+        ordered = in_ranges(sums, "s", "upto", "block")
+        summed = running_total(ordered, ["s"], "upto", F.col("fit"), "sum").join(state, "s")
+        missing = F.col("gap") - (F.col("sum") - F.col("fit"))
+        reached = written(summed.where(missing > 0).select(
+            "s", "block", (F.col("sum") <= F.col("gap")).alias("all"), (F.col("fit") == F.col("words")).alias("full"), missing.alias("gap")
+        ), "reached")
+        inside = later.join(reached.where(~F.col("all")).select("s", "block", "gap"), ["s", "block"])
+        chosen = written(inside.groupBy("s", "block").applyInArrow(cut, CUT), "cut")
+        partly = later.join(reached.where(F.col("all") & ~F.col("full")).select("s", "block"), ["s", "block"])
+        found = found.unionByName(reached.where(F.col("all") & F.col("full")).select(
+            "s", "block", F.lit(None).cast("array<bigint>").alias("chosen")
+        )).unionByName(partly.groupBy("s", "block").agg(F.collect_list("key").alias("chosen")))
+        found = found.unionByName(chosen.where(F.size("chosen") > 0).select(*columns))
+        rows, state = later, edge(chosen)
 
 
 def split(totals: np.ndarray, shards: int, shard: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -155,18 +190,18 @@ def planned(
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("int")
     rest = F.col("target") - passes * F.col("source_size")
     blocks = written(summed.select(
-        "s", "block", passes.alias("passes"),
+        "s", "block", "upto", "words", passes.alias("passes"),
         ((F.col("upto") <= rest) & (rest > 0)).alias("whole"), (rest - (F.col("upto") - F.col("words"))).alias("gap"),
     ), "blocks")
     # At most one block of each source stands at the target.
-    edges = blocks.where(~F.col("whole") & (F.col("gap") > 0)).select("s", "block", "gap")
+    edges = blocks.where(~F.col("whole") & (F.col("gap") > 0)).select("s", "block", "upto", "gap")
     inside = placed.groupBy("s", "block", "key").agg(F.sum("size").alias("size")).join(edges, ["s", "block"])
-    chosen = inside.groupBy("s", "block").applyInArrow(cut, "s int, block long, chosen array<bigint>")
+    chosen = written(inside.groupBy("s", "block").applyInArrow(cut, CUT), "cut")
     again = F.explode(F.sequence(F.lit(1), F.col("passes") + F.col("whole").cast("int"))).alias("pass")
     several = blocks.where((F.col("passes") + F.col("whole").cast("int")) > 0).select(
         "s", "block", again, F.lit(None).cast("array<bigint>").alias("chosen")
     )
-    partly = chosen.where(F.size("chosen") > 0).select("s", "block", F.lit(0).alias("pass"), "chosen")
+    partly = filled_up(placed, blocks, chosen).withColumn("pass", F.lit(0))
     drawn = several.unionByName(partly).withColumn("place", F.xxhash64(F.lit(seed + 1), "s", "block", "pass"))
     drawn = in_ranges(drawn, "s", "place", "block", "pass")
     drawn = running_total(drawn, ["s"], "range_row", F.lit(1), "position")

@@ -55,6 +55,19 @@ def test_a_source_that_stops_at_three_times_its_size(spark):
     assert target == targets(sizes) and target["a"] == 600 and taken["a"] == 600
 
 
+def test_one_document_holds_most_of_a_source(spark):
+    rows = [(0, "w " * 70_000, "a")] + [(i, f"v{i} " * 100, "a") for i in range(1, 301)] + [(1000 + i, "u " * 100, "b") for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    for seed in (20, 21):
+        mix = mixing.planned(docs, weights=(1.0, 3.0), most=10, block_words=2000, seed=seed)
+        sizes, taken, target = sums(found := mixing.taken(mix).collect())
+        assert sizes["a"] == 100_000 and abs(target["a"] - 27_500) < 1e-3
+        assert target["a"] - 100 < taken["a"] <= target["a"]
+        assert all(r.taken <= r.size for r in found if r.source == "a")
+        words = mixing.mixed(docs, mix).agg(F.sum(F.size(F.split(F.trim("text"), " ")))).first()[0]
+        assert words == sum(taken.values())
+
+
 def test_odd_rows(odd, nothing):
     mix = mixing.planned(odd)
     rows = mixing.taken(mix).collect()
