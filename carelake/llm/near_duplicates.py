@@ -2,7 +2,7 @@
 
 A text's set holds its distinct shingles of ``shingle`` words (the whole sequence where there are fewer words), as 64-bit hashes.
 
-1. *Classes.* Texts with equal sets are one class, kept by its smallest doc_id; from here on only classes are compared.
+1. *Classes.* Texts with equal sets are one class, with a 64-bit hash of the set as its node; from here on only classes are compared.
 2. *Signature.* One permutation of ``PLACES`` places scatters the shingles; coordinate k is the smallest value that a second permutation,
    shifted circularly by k, gives to the places. So two permutations make all ``COORDINATES``; a row of the shifted table
    is a run of memory. Each band of ``ROWS`` coordinates gives a bucket; at a similarity of 0.8 a pair shares none of the buckets with a chance of 3e-6.
@@ -11,7 +11,7 @@ A text's set holds its distinct shingles of ``shingle`` words (the whole sequenc
    compared in blocks of bounded size; members of different components that agree on at least ``AGREE`` below the threshold put
    their components into one cluster, of which each task reports a spanning forest only. Blocks of a cluster's members are then compared on
    full sets inside the tasks, which report the links that join components. No bucket is cut or sampled, and what is sent grows with the members, not with their pairs.
-4. *Components* by alternating stars over the links.
+4. *Components* by alternating stars over the links of nodes; at the end each gets its smallest doc_id.
 
 Nulls and edges: null, empty and blank texts have no set: they are linked with nothing and are their own component. Rows that repeat a doc_id are
 judged by their own texts. Rows without doc_id follow the documents they equal; where all copies lack one, component_id is null and they are kept.
@@ -129,7 +129,7 @@ class Side:
     @staticmethod
     def of(members: list[dict]) -> Side:
         return Side(
-            np.array([m["rep"] for m in members], np.int64), np.array([m["comp"] for m in members], np.int64),
+            np.array([m["node"] for m in members], np.int64), np.array([m["comp"] for m in members], np.int64),
             np.array([m["n"] for m in members], np.int64),
             np.frombuffer(b"".join(m["sign"] for m in members), np.uint8).reshape(len(members), COORDINATES),
             [m.get("text") for m in members],
@@ -190,9 +190,9 @@ def linked_pairs(batches: Iterator[pa.RecordBatch], size: int, part: int, whole:
 def block_pairs(rows: DataFrame, group: str, *more: str) -> DataFrame:
     """Blocks of each group against each other: one row per pair of blocks, with the members of both."""
     counts = rows.groupBy(group).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    dealt = rows.join(counts, group).withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    dealt = rows.join(counts, group).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    member = F.struct("rep", "comp", "n", "sign", *more)
+    member = F.struct("node", "comp", "n", "sign", *more)
     dealt = dealt.select(
         group, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
         F.when(F.col("own") <= F.col("other"), member).alias("l"), F.when(F.col("own") >= F.col("other"), member).alias("r"),
@@ -207,47 +207,45 @@ class Linker:
     def __init__(self, docs: DataFrame, reps: DataFrame, size: int, part: int, whole: int):
         self.size, self.part, self.whole = size, part, whole
         self.reps = reps
-        rows = reps.select("rep", "n", F.explode("buckets").alias("bucket"))
-        shared = rows.groupBy("bucket").agg(F.min(F.struct("rep", "n")).alias("first"), F.count(F.lit(1)).alias("members"))
+        rows = reps.select("rep", "node", "n", F.explode("buckets").alias("bucket"))
+        shared = rows.groupBy("bucket").agg(F.min(F.struct("rep", "node", "n")).alias("first"), F.count(F.lit(1)).alias("members"))
         shared = shared.where("members > 1")
         self.members = written(rows.join(shared, "bucket"), "buckets")  # only buckets of two classes or more
-        suspects = self.members.select("rep").distinct().join(reps, "rep").select(
-            F.col("rep").alias("doc_id"), "text_key"
+        suspects = self.members.select("node").distinct().join(reps, "node").select(
+            "node", F.col("rep").alias("doc_id"), "text_key"
         )
         self.texts = written(
-            docs.join(suspects, ["doc_id", "text_key"]).dropDuplicates(["doc_id"]).select(
-                F.col("doc_id").alias("rep"), "text"
-            ), "suspects",
+            docs.join(suspects, ["doc_id", "text_key"]).dropDuplicates(["node"]).select("node", "text"), "suspects",
         )
         self.comps: DataFrame | None = None
 
     def by_smallest(self) -> None:
         """Each bucket's members against its smallest."""
-        rows = self.members.where(F.col("rep") != F.col("first.rep"))
+        rows = self.members.where(F.col("node") != F.col("first.node"))
         a, b = F.col("n"), F.col("first.n")
         rows = rows.where(self.whole * F.least(a, b) >= self.part * F.greatest(a, b))
-        pairs = written(rows.select(F.col("first.rep").alias("u"), F.col("rep").alias("v")).distinct(), "pairs")
-        rows = pairs.join(self.texts.select(F.col("rep").alias("v"), F.col("text").alias("other")), "v")
-        rows = rows.join(self.texts.select(F.col("rep").alias("u"), "text"), "u").select("u", "v", "text", "other")
+        pairs = written(rows.select(F.col("first.node").alias("u"), F.col("node").alias("v")).distinct(), "pairs")
+        rows = pairs.join(self.texts.select(F.col("node").alias("v"), F.col("text").alias("other")), "v")
+        rows = rows.join(self.texts.select(F.col("node").alias("u"), "text"), "u").select("u", "v", "text", "other")
         size, part, whole = self.size, self.part, self.whole
         self.comps = components(rows.mapInArrow(lambda it: confirmed(it, size, part, whole), "u long, v long"))
 
     def labelled(self, rows: DataFrame) -> DataFrame:
-        """``rows`` with the component of each rep so far."""
-        labels = self.comps.select(F.col("u").alias("rep"), F.col("v").alias("comp"))
-        return rows.join(labels, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+        """``rows`` with the component of each node so far."""
+        labels = self.comps.select(F.col("u").alias("node"), F.col("v").alias("comp"))
+        return rows.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
 
     def by_blocks(self) -> None:
         """What is still open in buckets of several components."""
         size, part, whole = self.size, self.part, self.whole
-        rows = self.labelled(self.members.select("bucket", "rep", "n"))
+        rows = self.labelled(self.members.select("bucket", "node", "n"))
         several = rows.groupBy("bucket").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("bucket")
-        still = written(rows.join(several, "bucket", "left_semi"), "open").join(self.reps.select("rep", "sign"), "rep")
+        still = written(rows.join(several, "bucket", "left_semi"), "open").join(self.reps.select("node", "sign"), "node")
         close = block_pairs(still, "bucket").mapInArrow(lambda it: close_pairs(it, part, whole), "u long, v long")
         clusters = components(close)
         named = clusters.select(F.col("u").alias("comp"), F.col("v").alias("cluster"))
         named = named.union(clusters.select(F.col("v").alias("comp"), F.col("v").alias("cluster"))).distinct()
-        inside = still.dropDuplicates(["rep"]).join(named, "comp").join(self.texts, "rep")
+        inside = still.dropDuplicates(["node"]).join(named, "comp").join(self.texts, "node")
         found = block_pairs(inside, "cluster", "text").mapInArrow(
             lambda it: linked_pairs(it, size, part, whole), "u long, v long"
         )
@@ -271,14 +269,20 @@ def near_duplicates(
         F.first("n_shingles").alias("n"), F.first("buckets").alias("buckets"), F.first("sign").alias("sign"),
     )
     classes = written(classes.select(
-        "set_key", F.col("least.doc_id").alias("rep"), F.col("least.text_key").alias("text_key"), "n", "buckets", "sign"
+        "set_key", F.xxhash64("set_key").alias("node"), F.col("least.doc_id").alias("rep"),
+        F.col("least.text_key").alias("text_key"), "n", "buckets", "sign",
     ), "classes")
     linker = Linker(rows, classes.where("rep IS NOT NULL").drop("set_key"), shingle, part, whole)
     linker.by_smallest()
     linker.by_blocks()
-    named = classes.select("set_key", "rep").join(
-        linker.comps.select(F.col("u").alias("rep"), F.col("v").alias("comp")), "rep", "left"
-    ).select("set_key", F.coalesce("comp", "rep").alias("component_id"))
+    labels = linker.comps.select(F.col("u").alias("node"), F.col("v").alias("comp"))
+    labels = labels.union(labels.select(F.col("comp").alias("node"), "comp").distinct())
+    nodes = classes.where("rep IS NOT NULL").select("set_key", "node", "rep").join(labels, "node")
+    smallest = written(nodes.groupBy("comp").agg(F.min("rep").alias("smallest")), "smallest")
+    linked = nodes.join(smallest, "comp").select("set_key", "smallest")
+    named = classes.select("set_key", "rep").join(linked, "set_key", "left").select(
+        "set_key", F.coalesce("smallest", "rep").alias("component_id")
+    )
     known = scan.where("n_shingles > 0").join(named, "set_key", "left")
     empty = scan.where("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
     columns = ["doc_id", "text_key", "n_shingles", "component_id"]

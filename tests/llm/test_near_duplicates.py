@@ -60,6 +60,12 @@ def test_a_group_of_variants_around_the_threshold(spark):
     check(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85)
 
 
+def test_a_repeated_id_with_two_texts_that_have_near_copies(spark):
+    texts = [" ".join(f"{letter}{i}" for i in range(100)) for letter in "abc"]
+    rows = [(1, text) for text in texts] + [(5 + i, f"{text} more") for i, text in enumerate(texts)] + [(9, texts[0])]
+    check(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85)
+
+
 def test_odd_rows(odd, nothing):
     rows = table_rows(near_duplicates.near_duplicates(odd), "doc_id", "n_shingles", "component_id", "kept")
     assert len(rows) == 12
