@@ -90,5 +90,13 @@ FROM judged JOIN d USING (r) GROUP BY r
 """
 
 
+OP13 = """
+SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+       row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
+       sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_near_duplicates": OP3, "op4_line_matches": OP4, "op9_winnowing": OP9}
+    return {"op3_near_duplicates": OP3, "op4_line_matches": OP4, "op9_winnowing": OP9, "op13_exact_copies": OP13}
