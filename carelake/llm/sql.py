@@ -90,6 +90,34 @@ FROM judged JOIN d USING (r) GROUP BY r
 """
 
 
+OP11 = f"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({ascii_lower('text')}, '[.,;:!?\\x0A-\\x0D]')) AS piece
+    FROM documents
+), w AS MATERIALIZED (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+grams AS (
+    SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS p
+    FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT unnest(range(1, 6)) AS k) WHERE len(w) >= k)
+), f AS MATERIALIZED (SELECT lang, k, p, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= 100),
+phrases AS MATERIALIZED (SELECT lang, k, p, a, string_split(p, ' ') AS w FROM f WHERE k > 1),
+covered AS (
+    SELECT DISTINCT s.lang, s.p FROM phrases AS s JOIN (
+        SELECT lang, a, k, j, array_to_string(w[i:i + j - 1], ' ') AS part
+        FROM (SELECT lang, a, k, j, w, unnest(range(1, k - j + 2)) AS i FROM phrases, (SELECT unnest(range(2, 5)) AS j) WHERE j < k)
+    ) AS o ON o.lang = s.lang AND o.part = s.p AND 100 * o.a >= 100 * s.a
+), cuts AS (
+    SELECT x.lang, x.p, x.a, x.c, l.a AS l, r.a AS r, n,
+           CAST(CAST(1000 AS HUGEINT) * x.a * n // (CAST(l.a AS HUGEINT) * r.a) AS BIGINT) AS score
+    FROM (SELECT lang, p, a, k, w, unnest(range(1, k)) AS c FROM phrases) AS x
+    JOIN f AS l ON l.lang = x.lang AND l.p = array_to_string(w[1:c], ' ')
+    JOIN f AS r ON r.lang = x.lang AND r.p = array_to_string(w[c + 1:k], ' ')
+    JOIN totals ON totals.lang = x.lang
+), weakest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, c) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, CAST(p AS BLOB)) AS rank, p AS phrase, a, l, r, n, score
+FROM weakest ANTI JOIN covered USING (lang, p) QUALIFY rank <= 2000
+"""
+
 OP13 = """
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
@@ -99,4 +127,4 @@ FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_near_duplicates": OP3, "op4_line_matches": OP4, "op9_winnowing": OP9, "op13_exact_copies": OP13}
+    return {"op3_near_duplicates": OP3, "op4_line_matches": OP4, "op9_winnowing": OP9, "op11_collocations": OP11, "op13_exact_copies": OP13}
