@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm import collocations, exact_copies, hidden_markov, language, licenses, line_matches, mixing, near_duplicates, neighbours, secret_scan, token_files, winnowing
+from carelake.llm import collocations, exact_copies, hidden_markov, language, licenses, line_matches, mixing, near_duplicates, neighbours, secret_scan, token_files, whitening, winnowing
 from carelake.llm.common import id_crc
 from carelake.llm.shipping import ship
 from carelake.plans.session import scratch_folder
@@ -104,6 +104,10 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.ranked(collocations.collocations(table(spark, sf_dir, "documents")))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 def op13_exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_copies.exact_copies(table(spark, sf_dir, "documents"), digest=True)
 
@@ -120,6 +124,7 @@ QUERIES: dict[str, Query] = {
     "op7_hidden_markov": op7_hidden_markov,
     "op8_token_files": op8_token_files,
     "op11_collocations": op11_collocations,
+    "op12_whitening": op12_whitening,
     "op13_exact_copies": op13_exact_copies,
 }
 
