@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from carelake.core import Core
@@ -79,66 +79,100 @@ def row_reasons(table: Table) -> list[Column]:
     if table.one_of:
         left, right = table.one_of
         rules.append((F.col(left).isNull() == F.col(right).isNull(), "check:xor"))
-    for ref in table.refs:
-        missing = F.col(ref.column).isNotNull() & F.col("found_" + ref.column).isNull()
-        rules.append((missing, ref.reason))
-    for names in table.uniques:
-        rules.append((F.col("taken_" + names[0]).isNotNull(), "unique:" + "+".join(names)))
+    rules += [(F.col("missing_" + ref.column), ref.reason) for ref in table.refs]
+    rules += [(F.col("taken_" + names[0]), "unique:" + "+".join(names)) for names in table.uniques]
     return [F.when(broken, F.lit(code)) for broken, code in rules]
 
 
-def judged(staged: DataFrame, table: Table, core: Core, check_widths: bool = True, keep_raw: bool = False) -> DataFrame:
-    """Every staged row with its core values, its reasons and its outcome.
-
-    The batch is written first, so its size is known. References and uniqueness are left joins
-    on the parent's key, and each parent is first reduced to the batch's own keys: a batch below
-    Spark's broadcast threshold is broadcast past the core table, which is then neither
-    shuffled nor sorted; a larger batch is sort-merge joined, where adaptive execution splits a key that
-    dominates. Only the text columns travel through the joins; the JSON snapshot is made
-    afterwards, for rejected rows.
-    """
+def with_core_values(staged: DataFrame, table: Table) -> DataFrame:
+    """Staged text under ``STAGED`` names, the core values beside it, and a number for each row."""
     rows = staged.select(
         *[F.nullif(F.col(c), F.lit("")).alias(STAGED + c) for c in table.column_names]
     ).withColumn("row_no", F.monotonically_increasing_id())
-    rows = written(rows.withColumns({c.name: core_value(c, table) for c in table.columns}), f"staged-{table.name}")
-    batch = rows
+    return rows.withColumns({c.name: core_value(c, table) for c in table.columns})
 
-    def found_in(stored: DataFrame, names: Mapping[str, str]) -> DataFrame:
-        """The values of ``names`` (stored column to batch column) that the batch has."""
-        known = stored.select(*[F.col(s).alias("k_" + b) for s, b in names.items()])
-        wanted = batch.select(*[F.col(b).alias("k_" + b) for b in names.values()]).dropna().distinct()
-        return known.join(wanted, ["k_" + b for b in names.values()], "left_semi")
 
+def key_findings(batch: DataFrame, table: Table, core: Core) -> DataFrame:
+    """What is to be said about the batch's keys: rows (kind, key_0, key_1), one per value.
+
+    ``missing:<column>`` a reference without a parent, ``known`` a key the core has, ``taken:<columns>`` a unique
+    value it has, ``repeat:<columns>`` a key or unique value that several rows of the batch hold. Only distinct keys are compared
+    with the stored tables. The stored side is reduced to them first, so a small batch is broadcast past the core
+    table, which is then neither shuffled nor sorted; for a large one both sides are shuffled by key, as keys only.
+    """
+
+    def keys(rows: DataFrame, names: Sequence[str]) -> DataFrame:
+        return rows.select(*[F.col(n).alias(f"key_{i}") for i, n in enumerate(names)]).dropna()
+
+    def rows_of(kind: str, found: DataFrame) -> DataFrame:
+        second = F.col("key_1").cast("string") if "key_1" in found.columns else F.lit(None).cast("string")
+        return found.select(F.lit(kind).alias("kind"), F.col("key_0").cast("string").alias("key_0"), second.alias("key_1"))
+
+    parts = []
     for ref in table.refs:
-        found = found_in(core[ref.table], {ref.key: ref.column}).select(
-            F.col("k_" + ref.column).alias("found_" + ref.column)
-        )
-        rows = rows.join(found, F.col(ref.column) == F.col("found_" + ref.column), "left")
-    own = core[table.name] if table.name in core else None
-    if own is None:
-        rows = rows.withColumn("known_key", F.lit(None).cast("string"))
-        for names in table.uniques:
-            rows = rows.withColumn("taken_" + names[0], F.lit(None).cast("string"))
-    else:
-        keys = found_in(own, {table.key: table.key}).select(F.col("k_" + table.key).alias("known_key"))
-        rows = rows.join(keys, F.col(table.key) == F.col("known_key"), "left")
-        for names in table.uniques:
-            taken = found_in(own, {n: n for n in names}).select(*[F.col("k_" + n).alias("taken_" + n) for n in names])
-            same = reduce(Column.__and__, [F.col(n) == F.col("taken_" + n) for n in names])
-            rows = rows.join(taken, same, "left")
+        wanted = keys(batch, [ref.column]).distinct()
+        present = keys(core[ref.table], [ref.key]).join(wanted, "key_0", "left_semi")
+        parts.append(rows_of("missing:" + ref.column, wanted.join(present, "key_0", "left_anti")))
+    stored = core[table.name] if table.name in core else None
+    for names in ((table.key,), *table.uniques):
+        held = keys(batch, names)
+        label = "+".join(names)
+        if stored is not None:
+            kind = "known" if names == (table.key,) else "taken:" + label
+            found = keys(stored, names).join(held.distinct(), held.columns, "left_semi").distinct()
+            parts.append(rows_of(kind, found))
+        counted = held.groupBy(*held.columns).agg(F.count(F.lit(1)).alias("copies"))
+        parts.append(rows_of("repeat:" + label, counted.filter("copies > 1")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def with_findings(rows: DataFrame, found: DataFrame, kinds: set[str], kind: str, names: Sequence[str], flag: str) -> DataFrame:
+    """``rows`` with ``flag``: whether their values are among the findings of a kind. Nothing is joined where there are none."""
+    if kind not in kinds:
+        return rows.withColumn(flag, F.lit(False))
+    columns = [F.col(f"key_{i}").alias(f"f_{n}") for i, n in enumerate(names)]
+    values = found.filter(F.col("kind") == kind).select(*columns, F.lit(True).alias(flag))
+    same = reduce(Column.__and__, [F.col(n).cast("string") == F.col(f"f_{n}") for n in names])
+    return rows.join(values, same, "left").withColumn(flag, F.coalesce(flag, F.lit(False))).drop(*[f"f_{n}" for n in names])
+
+
+@dataclass
+class Judged:
+    """Every staged row with its core values, reasons and outcome; the kinds of findings; the number of staged rows."""
+
+    rows: DataFrame
+    kinds: set[str]
+    staged: int
+
+
+def judge(staged: DataFrame, table: Table, core: Core, check_widths: bool = True, keep_raw: bool = False) -> Judged:
+    """Every staged row with its core values, its reasons and its outcome.
+
+    The batch is written once. Its distinct keys are compared with the stored tables and what is amiss, normally few
+    keys, is written as well, so its size is known: the batch then meets small broadcast tables, or none, and is itself
+    neither shuffled nor sorted. (Should most keys be amiss, Spark joins by sorting, and adaptive execution splits a key
+    that dominates.) Reasons are computed from there wherever rows are read; the JSON snapshot is made for rejected rows only.
+    """
+    count = Observation()
+    batch = written(with_core_values(staged, table).observe(count, F.count(F.lit(1)).alias("rows")), f"staged-{table.name}")
+    found = written(key_findings(batch, table, core), f"findings-{table.name}")
+    kinds = {r.kind for r in found.select("kind").distinct().collect()}  # at most one a rule
+
+    rows = batch
+    for ref in table.refs:
+        rows = with_findings(rows, found, kinds, "missing:" + ref.column, [ref.column], "missing_" + ref.column)
+    rows = with_findings(rows, found, kinds, "known", [table.key], "is_known")
+    for names in table.uniques:
+        rows = with_findings(rows, found, kinds, "taken:" + "+".join(names), names, "taken_" + names[0])
 
     broken = [r for c in table.columns for r in column_reasons(c, table, check_widths)] + row_reasons(table)
     rows = rows.withColumn("reasons", F.array_compact(F.array(*broken)))
-    outcome = (
-        F.when(F.col("known_key").isNotNull(), "known")
-        .when(F.size("reasons") > 0, "rejected")
-        .otherwise("good")
-    )
+    outcome = F.when(F.col("is_known"), "known").when(F.size("reasons") > 0, "rejected").otherwise("good")
     snapshot = F.to_json(
         F.struct(*[F.col(STAGED + c).alias(c) for c in table.column_names]), {"ignoreNullFields": "false"}
     )
     wanted = F.lit(True) if keep_raw else F.col("outcome") == "rejected"
-    return rows.withColumn("outcome", outcome).select(
+    rows = rows.withColumn("outcome", outcome).select(
         *table.column_names,
         F.col(STAGED + table.key).alias("source_key"),
         "reasons",
@@ -146,6 +180,11 @@ def judged(staged: DataFrame, table: Table, core: Core, check_widths: bool = Tru
         "row_no",
         "outcome",
     )
+    return Judged(rows, kinds, count.get["rows"])
+
+
+def judged(staged: DataFrame, table: Table, core: Core, check_widths: bool = True, keep_raw: bool = False) -> DataFrame:
+    return judge(staged, table, core, check_widths, keep_raw).rows
 
 
 def repeated(good: DataFrame, keys: tuple[str, ...]) -> DataFrame:
@@ -168,6 +207,8 @@ class LoadResult:
     accepted: DataFrame
     quarantined: DataFrame
     failed: bool
+    staged: int  # rows of the batch
+    repeats: bool  # several rows of the batch hold one key
 
     def counts(self) -> DataFrame:
         """One row: accepted, rejected, known."""
@@ -201,8 +242,8 @@ def validated_load(
     if on_duplicate not in ("fail", "first"):
         raise ValueError(on_duplicate)
     spark = staged.sparkSession
-    rows = judged(staged, table, core, check_widths, keep_raw=on_duplicate == "first")
-    rows = written(rows, f"judged-{table.name}")
+    found = judge(staged, table, core, check_widths, keep_raw=on_duplicate == "first")
+    rows = found.rows
     good = rows.filter(F.col("outcome") == "good")
     rejected = rows.filter(F.col("outcome") == "rejected")
     target = F.lit(table.full_name).alias("target_table")
@@ -210,6 +251,8 @@ def validated_load(
     failed = False
 
     for keys in ((table.key,), *table.uniques):
+        if "repeat:" + "+".join(keys) not in found.kinds:
+            continue
         twice = repeated(good, keys)
         if twice.isEmpty():
             continue
@@ -227,7 +270,8 @@ def validated_load(
             losers.select(target, "source_key", F.array(F.lit(code)).alias("reasons"), "raw_data")
         )
         good = marked.filter(~later).drop("copies", "first_row")
-    return LoadResult(table, rows, good.select(*table.column_names), quarantined, failed)
+    repeats = f"repeat:{table.key}" in found.kinds
+    return LoadResult(table, rows, good.select(*table.column_names), quarantined, failed, found.staged, repeats)
 
 
 def load_files(
