@@ -14,8 +14,14 @@ class Core:
     directory, a projection of other tables or a small frame made by a test.
     """
 
-    def __init__(self, spark: SparkSession, makers: Mapping[str, Callable[[], DataFrame] | DataFrame]):
+    def __init__(
+        self,
+        spark: SparkSession,
+        makers: Mapping[str, Callable[[], DataFrame] | DataFrame],
+        largest: Callable[[str], int | None] | None = None,
+    ):
         self.spark = spark
+        self._largest = largest
         self._makers = dict(makers)
         self._built: dict[str, DataFrame] = {}
 
@@ -31,6 +37,11 @@ class Core:
     def names(self) -> list[str]:
         return list(self._makers)
 
+    def largest(self, name: str) -> int | None:
+        """The largest number in use among a table's keys, where it is kept with the table."""
+        return self._largest(name) if self._largest else None
+
     def replaced(self, **tables: DataFrame) -> Core:
         """The same tables with some of them swapped for others."""
-        return Core(self.spark, {**self._makers, **self._built, **tables})
+        kept = (lambda name: None if name in tables else self.largest(name)) if self._largest else None
+        return Core(self.spark, {**self._makers, **self._built, **tables}, kept)

@@ -14,30 +14,81 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carelake.core import Core
-from carelake.functions.text import folded, numbered, parsed
+from carelake.functions.figures import month_of
+from carelake.functions.text import folded, numbered
 from carelake.operators.dispensing import FOLD_LIMIT, decide
 from carelake.plans.numbering import with_position
 from carelake.plans.session import written
-from carelake.schemas import CLAIM_STATES, VISIT_TYPES
-from carelake.sources.store import CoreStore
+from carelake.schemas import BY_NAME, CLAIM_STATES, VISIT_TYPES
+from carelake.sources.store import CoreStore, number_of
 
 REVIEW_STATES = ("Approved", "Partially Approved", "Rejected")
 
 
 @dataclass
 class Outcome:
-    """One row per command, the rows to add to core tables, and tables to replace whole."""
+    """One row per command, the rows to add to core tables, and the rows of core tables that take new values."""
 
     decisions: DataFrame
     added: dict[str, DataFrame] = field(default_factory=dict)
     changed: dict[str, DataFrame] = field(default_factory=dict)
 
-    def apply(self, store: CoreStore) -> None:
-        """Store the effects. Ids and decisions are already written, so they stay as decided."""
-        for name, rows in self.added.items():
-            store.append(name, rows)
-        for name, rows in self.changed.items():
-            store.replace(name, rows)
+    def apply(self, store: CoreStore, batch: str | None = None) -> None:
+        """Store the effects. Ids and decisions are already written, so they stay as decided.
+
+        With the name of a batch the effects are stored under that name first. If applying them breaks off, ``resume`` (or
+        ``apply`` once more, whatever it would decide now) finishes what was decided then, and a batch that was applied is left alone.
+        """
+        if batch is None:
+            apply_rows(store, self.added, self.changed)
+            return
+        if store.batch_state(batch) is None:
+            for part, tables in (("added", self.added), ("changed", self.changed)):
+                for name, rows in tables.items():
+                    rows.write.mode("overwrite").parquet(f"{store.batch_folder(batch)}/{part}/{name}")
+            store.mark_batch(batch, "decided")
+        resume(store, batch)
+
+
+def apply_rows(store: CoreStore, added: dict[str, DataFrame], changed: dict[str, DataFrame]) -> None:
+    for name, rows in added.items():
+        store.append(name, rows)
+    for name, rows in changed.items():
+        store.update(name, rows)
+
+
+def resume(store: CoreStore, batch: str) -> None:
+    """Apply a decided batch, leaving out what an earlier attempt stored already.
+
+    Added rows are told by their keys, in the months of the batch only; changed rows hold final values, so storing them again
+    changes nothing. What is read of a stored table is its key column.
+    """
+    state = store.batch_state(batch)
+    if state is None:
+        raise LookupError(f"batch {batch} was not decided")
+    if state == "applied":
+        return
+
+    def rows_of(part: str, name: str) -> DataFrame:
+        return store.spark.read.parquet(f"{store.batch_folder(batch)}/{part}/{name}")
+
+    added = {}
+    for name in store.batch_tables(batch, "added"):
+        table, rows = BY_NAME[name], rows_of("added", name)
+        stored = store.read(name)
+        if table.month_of:
+            months = [r.ym for r in rows.select(month_of(table.month_of).alias("ym")).distinct().collect()]
+            stored = stored.filter(F.col("ym").isin(months))
+        added[name] = rows.join(stored.select(table.key), table.key, "left_anti")
+    apply_rows(store, added, {name: rows_of("changed", name) for name in store.batch_tables(batch, "changed")})
+    store.mark_batch(batch, "applied")
+
+
+def updated(core: Core, outcome: Outcome, name: str) -> DataFrame:
+    """A core table as it is after a batch that changes rows of it."""
+    rows, key = outcome.changed[name], BY_NAME[name].key
+    rest = core[name].select(*rows.columns).join(rows.select(key), key, "left_anti")
+    return rest.unionByName(rows)
 
 
 def reason_list(*rules: tuple[Column, str]) -> Column:
@@ -49,14 +100,19 @@ def spelled(column: str, domain: tuple[str, ...]) -> Column:
     return spellings[folded(column)]
 
 
-def next_ids(rows: DataFrame, order: list[str], taken: DataFrame, id_column: str, prefix: str, digits: int) -> DataFrame:
-    """``rows`` with ``id_column`` = prefix + (largest number in use + place in the order)."""
-    suffix = F.substr(F.col(id_column), F.lit(len(prefix) + 1))
-    used = F.when(F.col(id_column).startswith(prefix), parsed(suffix, "bigint"))
-    largest = taken.select(F.coalesce(F.max(used), F.lit(0))).scalar()
+def next_ids(rows: DataFrame, order: list[str], core: Core, name: str, digits: int) -> DataFrame:
+    """``rows`` with the key of a table = prefix + (largest number in use + place in the order).
+
+    A store keeps the largest number with the table; elsewhere the keys are looked through.
+    """
+    table, kept = BY_NAME[name], core.largest(name)
+    if kept is None:
+        largest = core[name].select(F.coalesce(F.max(number_of(table)), F.lit(0))).scalar()
+    else:
+        largest = F.lit(kept)
     placed = with_position(rows, *order)
-    placed = placed.withColumn(id_column, numbered(prefix, largest + F.col("position"), digits)).drop("position")
-    return written(placed, f"new-{id_column}")
+    placed = placed.withColumn(table.key, numbered(table.numbered, largest + F.col("position"), digits)).drop("position")
+    return written(placed, f"new-{table.key}")
 
 
 def folded_keys(commands: DataFrame, *names: str) -> DataFrame:
@@ -107,7 +163,7 @@ def register_visits(core: Core, commands: DataFrame, as_of: date) -> Outcome:
         .drop("has_patient", "has_doctor", "has_department", "has_diagnosis")
     )
     accepted, rejected = split(decided, "register-visits")
-    accepted = next_ids(accepted, ["seq"], core["visit"], "visit_id", "VIS", 8)
+    accepted = next_ids(accepted, ["seq"], core, "visit", 8)
     visits = accepted.select(
         "visit_id", "patient_id", "hospital_id", "doctor_id", "department_id", F.lit(as_of).alias("visit_date"),
         "visit_type", "diagnosis_code", "symptoms", F.lit("Completed").alias("visit_status"),
@@ -136,16 +192,15 @@ def dispense(core: Core, commands: DataFrame, as_of: date, fold_limit: int = FOL
         )
     )
     accepted, rejected = split(decided, "dispense-decisions")
-    numbered_rows = next_ids(accepted, ["seq"], core["drug_transaction"], "transaction_id", "DT", 7)
+    numbered_rows = next_ids(accepted, ["seq"], core, "drug_transaction", 7)
     moves = numbered_rows.select(
         "transaction_id", "drug_id", "hospital_id", F.lit("Dispensing").alias("transaction_type"),
         F.col("quantity").cast("int").alias("quantity"), F.lit(as_of).alias("transaction_date"), "performed_by",
     )
     taken = accepted.groupBy("hospital_id", "drug_id").agg(F.sum("quantity").alias("taken"))
-    inventory = core["drug_inventory"].join(taken, ["hospital_id", "drug_id"], "left").select(
+    inventory = core["drug_inventory"].join(taken, ["hospital_id", "drug_id"]).select(
         "inventory_id", "hospital_id", "drug_id",
-        (F.col("quantity_available") - F.coalesce(F.col("taken"), F.lit(0))).cast("int").alias("quantity_available"),
-        "reorder_level", "expiration_date",
+        (F.col("quantity_available") - F.col("taken")).cast("int").alias("quantity_available"), "reorder_level", "expiration_date",
     )
     decisions = numbered_rows.select("seq", "transaction_id", "remaining_stock", "reasons").unionByName(
         rejected.select(
@@ -181,14 +236,14 @@ def submit_claims(core: Core, commands: DataFrame, as_of: date) -> Outcome:
     )
     decided = first_wins(written(decided, "submit-checks"), "visit_id", "claim:exists")
     accepted, rejected = split(decided, "submit-decisions")
-    accepted = next_ids(accepted, ["seq"], core["claim"], "claim_id", "CLM", 8)
+    accepted = next_ids(accepted, ["seq"], core, "claim", 8)
     claims = accepted.select(
         "claim_id", "patient_id", "visit_id", "hospital_id", F.lit(as_of).alias("claim_date"), "claim_amount",
         F.lit(None).cast("decimal(10,2)").alias("approved_amount"), F.lit("Pending Review").alias("claim_status"),
     )
     billed = core["visit_procedure"].select("visit_procedure_id", "visit_id", "procedure_code", "procedure_amount")
     items = accepted.select("seq", "claim_id", "visit_id").join(billed, "visit_id")
-    items = next_ids(items, ["seq", "visit_procedure_id"], core["claim_item"], "claim_item_id", "CI", 9).select(
+    items = next_ids(items, ["seq", "visit_procedure_id"], core, "claim_item", 9).select(
         "claim_item_id", "claim_id", "procedure_code", F.lit(None).cast("string").alias("drug_id"),
         F.col("procedure_amount").alias("item_amount"), F.lit(1).alias("quantity"),
     )
@@ -220,7 +275,7 @@ def review_claims(core: Core, commands: DataFrame, as_of: date) -> Outcome:
     )
     decided = first_wins(written(decided, "review-checks"), "claim_id", "unique:claim_id")
     accepted, rejected = split(decided, "review-decisions")
-    accepted = next_ids(accepted, ["seq"], core["claim_approval"], "approval_id", "APR", 8)
+    accepted = next_ids(accepted, ["seq"], core, "claim_approval", 8)
     approvals = accepted.select(
         "approval_id", "claim_id", "reviewed_by", F.col("new_status").alias("approval_status"),
         F.lit(as_of).alias("approval_date"), "rejection_reason",
@@ -232,11 +287,9 @@ def review_claims(core: Core, commands: DataFrame, as_of: date) -> Outcome:
         .cast("decimal(10,2)")
     )
     changes = accepted.select("claim_id", "new_status", amount.alias("new_amount"))
-    changed = F.col("new_status").isNotNull()
-    claims = core["claim"].join(changes, "claim_id", "left").select(
+    claims = core["claim"].join(changes, "claim_id").select(
         "claim_id", "patient_id", "visit_id", "hospital_id", "claim_date", "claim_amount",
-        F.when(changed, F.col("new_amount")).otherwise(F.col("approved_amount")).alias("approved_amount"),
-        F.coalesce("new_status", "claim_status").alias("claim_status"),
+        F.col("new_amount").alias("approved_amount"), F.col("new_status").alias("claim_status"),
     )
     decisions = accepted.select("seq", "approval_id", "reasons").unionByName(
         rejected.select("seq", F.lit(None).cast("string").alias("approval_id"), "reasons")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,16 +12,17 @@ from pyspark.sql import Window
 from carelake.core import Core
 from carelake.functions.figures import flag_count, mean, month_of, months_before, percent, rounded, within
 from carelake.functions.text import folded, folded_value, person
+from carelake.plans.session import written
 
 
-def latest_icu(core: Core) -> DataFrame:
-    """The newest ICU snapshot of each hospital.
+def newest_of(snapshots: DataFrame) -> DataFrame:
+    """The newest of these snapshots for each hospital.
 
     The maximum of a struct led by the time is an aggregate, so each task keeps one row per
     hospital; ranking the snapshots would send a busy hospital's whole history to one task.
     """
     newest = F.max(F.struct("update_time", "icu_status_id", "occupied_beds", "available_beds"))
-    return core["icu_status"].groupBy("hospital_id").agg(newest.alias("s")).select(
+    return snapshots.groupBy("hospital_id").agg(newest.alias("s")).select(
         "hospital_id",
         F.col("s.occupied_beds").alias("icu_occupied"),
         F.col("s.available_beds").alias("icu_available"),
@@ -28,6 +30,27 @@ def latest_icu(core: Core) -> DataFrame:
     )
 
 
+def latest_icu(core: Core) -> DataFrame:
+    """The newest ICU snapshot of each hospital.
+
+    Snapshots stored by month are read from the newest month backwards, a month only for the hospitals that no later one
+    knows, and no further than all hospitals are found; the reading of earlier months is the exception.
+    """
+    snapshots = core["icu_status"]
+    if "ym" not in snapshots.columns:
+        return newest_of(snapshots)
+    months = sorted((r.ym for r in snapshots.select("ym").distinct().collect()), reverse=True)
+    wanted, parts = core["hospital"].select("hospital_id"), []
+    for month in months:
+        found = newest_of(snapshots.filter(F.col("ym") == month).join(wanted, "hospital_id", "left_semi"))
+        found = written(found, f"icu-{month}")
+        parts.append(found)
+        wanted = written(wanted.join(found, "hospital_id", "left_anti"), "hospitals-without-snapshot")
+        if wanted.isEmpty():
+            break
+    return reduce(DataFrame.unionByName, parts) if parts else newest_of(snapshots)
+
+
 def hospital_capacity(core: Core) -> DataFrame:
     """Bed and ICU occupancy of every hospital, also of those without beds or snapshots."""
     beds = core["bed"].groupBy("hospital_id").agg(

@@ -11,10 +11,12 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Mapping, Sequence
+from concurrent.futures import Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -294,23 +296,57 @@ def load_files(
     return result
 
 
+def load_table(
+    staged: DataFrame, table: Table, store: CoreStore, load_time: datetime, on_duplicate: str, check_widths: bool
+) -> None:
+    """Load one table and log what became of its rows; the numbers are counted by the jobs that write them."""
+    core = store.core()
+    result = validated_load(staged, table, core, on_duplicate, check_widths)
+    accepted = 0 if result.failed else store.append(table.name, result.accepted).rows
+    quarantined = store.log(result.quarantined.withColumn("load_timestamp", moment(load_time)), table.name)
+    if result.failed or result.repeats:
+        # A key that several rows hold: whether it arrived says more than how many rows did.
+        key = F.col("waiting_key")
+        arrived = store.read(table.name).select(F.col(table.key).alias("waiting_key"))
+        waiting = result.judged.select(F.col(table.key).alias("waiting_key")).join(arrived, "waiting_key", "left_anti")
+        known = result.judged.filter(F.col("outcome") == "known").count()
+        pending = waiting.agg(F.count(F.coalesce(key, F.lit("")))).first()[0]
+    else:
+        # Every row is accepted, rejected or known, and no two of them share a key.
+        known = result.staged - accepted - quarantined
+        pending = quarantined
+    store.log_load((load_time, table.full_name, result.staged, accepted, quarantined, known, pending), table.name)
+
+
 def load_all(
     staging: Mapping[str, DataFrame],
     store: CoreStore,
     load_time: datetime,
     on_duplicate: str = "fail",
     check_widths: bool = True,
+    side_by_side: int = 6,
 ) -> None:
-    """Load every staged table in dependency order; a table that fails does not stop the next."""
-    for table in TABLES:
-        if table.name not in staging:
-            continue
+    """Load every staged table after the tables it refers to; a table that fails does not stop the others.
+
+    Tables without a reference between them load side by side, each under a job group of its name.
+    """
+    started: dict[str, Future] = {}
+
+    def run(table: Table, parents: list[Future]) -> None:
+        wait(parents)
+        store.spark.sparkContext.setJobGroup(f"load {table.full_name}", f"load of {table.full_name}")
         try:
-            result = validated_load(staging[table.name], table, store.core(), on_duplicate, check_widths)
-            if not result.failed:
-                store.append(table.name, result.accepted)
-            store.log(result.quarantined.withColumn("load_timestamp", moment(load_time)))
+            load_table(staging[table.name], table, store, load_time, on_duplicate, check_widths)
         except Exception as error:  # noqa: BLE001 - the failure unit is the table
             logger.warning("load of %s failed: %s", table.full_name, error)
             row = [(load_time, table.full_name, None, [f"error:{type(error).__name__}"], str(error))]
-            store.log(store.spark.createDataFrame(row, LOG_SCHEMA))
+            logged = store.log(store.spark.createDataFrame(row, LOG_SCHEMA), table.name)
+            store.log_load((load_time, table.full_name, None, None, logged, None, None), table.name)
+
+    with ThreadPoolExecutor(side_by_side) as pool:
+        for table in TABLES:  # parents come first, so a table never waits for one that has no thread yet
+            if table.name in staging:
+                parents = [started[r.table] for r in table.refs if r.table in started]
+                started[table.name] = pool.submit(inheritable_thread_target(store.spark)(run), table, parents)
+    for done in started.values():
+        done.result()

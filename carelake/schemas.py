@@ -92,6 +92,8 @@ class Table:
     differ: tuple[str, str] | None = None  # two columns that must not be equal
     one_of: tuple[str, str] | None = None  # exactly one of two columns must be filled
     month_of: str | None = None  # date column that names the storage partition
+    looked_up_by: str | None = None  # column that single rows are sought by; files are sorted by it
+    numbered: str | None = None  # prefix of the keys the table gives out itself
     file: str = ""  # usual name of the delivered file
     renamed: dict[str, str] = field(default_factory=dict)  # header -> column
 
@@ -275,6 +277,7 @@ TABLES: tuple[Table, ...] = (
             Col("update_time", "timestamp_ntz", required=True),
         ),
         refs=(HOSPITAL,),
+        month_of="update_time",
         file="icu_status.csv",
     ),
     Table(
@@ -294,6 +297,7 @@ TABLES: tuple[Table, ...] = (
             digits("emergency_contact"),
         ),
         uniques=(("national_id",),),
+        looked_up_by="national_id",
         file="patients.csv",
     ),
     Table(
@@ -323,6 +327,7 @@ TABLES: tuple[Table, ...] = (
         ),
         refs=(DRUG, HOSPITAL),
         month_of="transaction_date",
+        numbered="DT",
         file="drug_transactions.csv",
     ),
     Table(
@@ -343,6 +348,8 @@ TABLES: tuple[Table, ...] = (
         ),
         refs=(PATIENT, HOSPITAL, DOCTOR, DEPARTMENT, DIAGNOSIS),
         month_of="visit_date",
+        looked_up_by="patient_id",
+        numbered="VIS",
         file="visits.csv",
     ),
     Table(
@@ -383,6 +390,7 @@ TABLES: tuple[Table, ...] = (
         ),
         refs=(VISIT, DOCTOR),
         month_of="prescription_date",
+        looked_up_by="visit_id",
         file="prescriptions.csv",
     ),
     Table(
@@ -397,6 +405,7 @@ TABLES: tuple[Table, ...] = (
             whole("quantity", low="1"),
         ),
         refs=(PRESCRIPTION, DRUG),
+        looked_up_by="prescription_id",
         file="prescription_items.csv",
     ),
     Table(
@@ -434,6 +443,7 @@ TABLES: tuple[Table, ...] = (
         refs=(PATIENT, VISIT, HOSPITAL),
         uniques=(("visit_id",),),
         month_of="claim_date",
+        numbered="CLM",
         file="claims.csv",
     ),
     Table(
@@ -448,6 +458,7 @@ TABLES: tuple[Table, ...] = (
         ),
         refs=(CLAIM, PROCEDURE, DRUG),
         one_of=("procedure_code", "drug_id"),
+        numbered="CI",
         file="claim_items.csv",
     ),
     Table(
@@ -462,6 +473,7 @@ TABLES: tuple[Table, ...] = (
         ),
         refs=(CLAIM,),
         uniques=(("claim_id",),),
+        numbered="APR",
         file="claim_approvals.csv",
     ),
     Table(

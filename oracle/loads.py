@@ -124,23 +124,19 @@ def cascade() -> dict[str, str]:
     return views
 
 
-# The tables that the audit queries load, parents first; ``load_all`` loads every table.
-AUDITED = tuple(t.name for t in TABLES[:10])
-
-
-def all_tables(select: str, names: tuple[str, ...] = AUDITED) -> str:
+def all_tables(select: str) -> str:
     """UNION ALL of one SELECT per table, over the cascade."""
     parts = [
         select.format(schema=t.schema, name=t.name, full=t.full_name, stg="{stg_" + t.name + "}",
                       judged="{judged_" + t.name + "}", accepted="{accepted_" + t.name + "}")
-        for t in TABLES if t.name in names
+        for t in TABLES
     ]
     return with_views("\nUNION ALL\n".join(parts), cascade())
 
 
 def load_all_sql() -> str:
     return all_tables("""SELECT '{full}' AS target_table, count(*) AS staged,
-        count(*) FILTER (reasons = '') AS accepted, count(*) FILTER (reasons <> '') AS quarantined FROM {judged}""", tuple(BY_NAME))
+        count(*) FILTER (reasons = '') AS accepted, count(*) FILTER (reasons <> '') AS quarantined FROM {judged}""")
 
 
 def row_counts_sql() -> str:

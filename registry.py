@@ -104,21 +104,19 @@ def load_repeated_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load_all_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staging, store = loaded_store(spark, sf_dir)
-    return audits.load_summary(staging, store.core(), store.error_log())
+    return audits.load_summary(loaded_store(spark, sf_dir)[1].load_log())
 
 
 def row_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audits.row_counts(loaded_store(spark, sf_dir)[1].core())
+    return audits.loaded_rows(loaded_store(spark, sf_dir)[1].load_log())
 
 
 def errors_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audits.errors(loaded_store(spark, sf_dir)[1].error_log())
+    return audits.load_errors(loaded_store(spark, sf_dir)[1].load_log())
 
 
 def pending_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staging, store = loaded_store(spark, sf_dir)
-    return audits.pending(staging, store.core())
+    return audits.last_pending(loaded_store(spark, sf_dir)[1].load_log())
 
 
 # Reports over the clean domain tables, with the fixed driver parameters.
@@ -186,11 +184,11 @@ COMMANDS: dict[str, Callable[[Core], DataFrame]] = {
     "cmd_dispense": lambda core: decisions(dispense(core)),
     # The way of crowded keys, for every key with more than two commands.
     "cmd_dispense_hot": lambda core: decisions(dispense(core, fold_limit=2)),
-    "cmd_dispense_inventory": lambda core: dispense(core).changed["drug_inventory"],
+    "cmd_dispense_inventory": lambda core: commands.updated(core, dispense(core), "drug_inventory"),
     "cmd_submit_claims": lambda core: decisions(submit(core)),
     "cmd_submit_claim_items": lambda core: submit(core).added["claim_item"],
     "cmd_review_decisions": lambda core: decisions(review(core)),
-    "cmd_review_claims": lambda core: review(core).changed["claim"].select(
+    "cmd_review_claims": lambda core: commands.updated(core, review(core), "claim").select(
         "claim_id", "claim_status", "approved_amount"
     ),
     "cmd_review_approvals": lambda core: review(core).added["claim_approval"],
