@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 from functools import reduce
 
@@ -72,17 +73,32 @@ def read_delimited(
 
 
 def headers(spark: SparkSession, paths: str | Sequence[str]) -> dict[str, list[str]]:
-    """The files under ``paths`` by their first line, in one distributed pass; a row per file reaches the driver."""
-    lines = spark.read.text(paths if isinstance(paths, str) else list(paths)).select(
-        F.regexp_replace(F.regexp_replace("value", "^\ufeff", ""), "\r$", "").alias("line"),
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("place"),
-    )
-    firsts = lines.filter("start = 0").groupBy("file").agg(F.min_by("line", "place").alias("header"))
+    """The files under ``paths`` by their first line; files without one are left out.
+
+    Spark lists the files, as it does for any scan; of each file the start is read, whatever its size, a few files at a time.
+    """
+    listed = spark.read.format("binaryFile").load(paths if isinstance(paths, str) else list(paths)).select("path")
+    files = sorted(r.path for r in listed.collect())  # a name per file; their contents are not read
+    with ThreadPoolExecutor(16) as pool:
+        lines = pool.map(lambda file: first_line(spark, file), files)
     found: dict[str, list[str]] = {}
-    for row in firsts.orderBy("header", "file").collect():
-        found.setdefault(row["header"], []).append(row["file"])
-    return found
+    for file, line in zip(files, lines):
+        if line is not None:
+            found.setdefault(line.removeprefix("\ufeff"), []).append(file)
+    return dict(sorted(found.items()))
+
+
+def first_line(spark: SparkSession, file: str) -> str | None:
+    """The first line of a file of any file system and compression Spark reads; None for an empty file."""
+    jvm, settings = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(file)
+    stream = path.getFileSystem(settings).open(path)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(settings).getCodec(path)
+        plain = codec.createInputStream(stream) if codec else stream
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(plain, "UTF-8")).readLine()
+    finally:
+        stream.close()
 
 
 def read_csv(spark: SparkSession, paths, table: Table, load_time: datetime, **options) -> DataFrame:
