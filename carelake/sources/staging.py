@@ -29,21 +29,31 @@ def one_of(values: tuple[str, ...], number: str) -> str:
     return f"CASE {number} % {len(values)} {whens} END"
 
 
-# Columns whose projected value lies outside the permitted values, and what is staged instead.
+def person_of(number: str) -> dict[str, str]:
+    """A manager's name and address; some have none."""
+    return {
+        "manager_name": f"CASE WHEN {number} % 5 <> 4 THEN 'Manager ' || CAST({number} AS STRING) END",
+        "manager_email": f"CASE WHEN {number} % 3 <> 1 THEN 'm' || CAST({number} AS STRING) || '@example.org' END",
+    }
+
+
+AMOUNT = "CAST(expected_amount AS STRING)"
+# What is staged where the domain views have no value, or none that the rules permit. Some of it cannot be read.
 STAGED_AS = {
     ("diagnosis", "diagnosis_category"): one_of(DIAGNOSIS_CATEGORIES, "length(diagnosis_name)"),
     ("medical_procedure", "procedure_category"): one_of(PROCEDURE_CATEGORIES, "part_no"),
-    ("medical_procedure", "expected_amount"): "'EGP' || CAST(expected_amount AS STRING)",
+    ("medical_procedure", "expected_amount"): f"""CASE WHEN length({AMOUNT}) = 7 THEN left({AMOUNT}, 1) || ',' || right({AMOUNT}, 6) || ' egp'
+        ELSE 'EGP' || {AMOUNT} END""",
     ("hospital", "district"): one_of(DISTRICTS, "hospital_no"),
-}
-
-
-# Core columns the domain views do not have; they are staged as NULL.
-ABSENT = {
-    "hospital": {"longitude", "latitude", "manager_name", "manager_email", "manager_phone"},
-    "department": {"manager_name", "manager_email", "manager_phone"},
-    "doctor": {"phone"},
-    "patient": {"governorate"},
+    ("hospital", "longitude"): "CASE hospital_no % 6 WHEN 1 THEN 'east' WHEN 2 THEN '' ELSE ' 32.' || CAST(hospital_no * 12345 AS STRING) END",
+    ("hospital", "latitude"): "CASE hospital_no % 6 WHEN 1 THEN '31,25' WHEN 3 THEN '-31.2' ELSE '31.' || CAST(hospital_no * 7654321 AS STRING) END",
+    ("hospital", "manager_phone"): "'+20 66 ' || CAST(hospital_no AS STRING)",
+    ("department", "manager_phone"): """CASE department_no % 7 WHEN 1 THEN 'ext. 5' WHEN 2 THEN '' WHEN 3 THEN '0100200.7' WHEN 4 THEN CAST(NULL AS STRING)
+        ELSE '0' || CAST(1000000000 + department_no AS STRING) END""",
+    ("doctor", "phone"): "CASE WHEN doctor_no % 4 <> 3 THEN '010-' || CAST(doctor_no AS STRING) END",
+    ("patient", "governorate"): "CASE patient_no % 4 WHEN 0 THEN 'Cairo' WHEN 2 THEN 'Ismailia ' END",
+    **{("hospital", c): text for c, text in person_of("hospital_no").items()},
+    **{("department", c): text for c, text in person_of("department_no").items()},
 }
 
 
@@ -55,7 +65,6 @@ def defect(table: Table) -> str:
 def staged_text(table: Table) -> str:
     """SELECT that renders a domain view as staged text with its defects."""
     refs = [r.column for r in table.refs]
-    absent = ABSENT.get(table.name, set())
     hard = next((c.name for c in table.columns if c.type != "string" and not c.soft), None)
     ranged = next((c.name for c in table.columns if c.low), None)
     chosen = next((c.name for c in table.columns if c.domain), None)
@@ -63,9 +72,7 @@ def staged_text(table: Table) -> str:
     plain = next((c.name for c in table.columns[1:] if c.required and c.name not in refs), None)
     items = []
     for c in table.columns:
-        text = STAGED_AS.get((table.name, c.name))
-        if text is None:
-            text = "CAST(NULL AS STRING)" if c.name in absent else f"CAST({c.name} AS STRING)"
+        text = STAGED_AS.get((table.name, c.name), f"CAST({c.name} AS STRING)")
         whens = []
         if c.name == hard:
             whens.append((BAD_NUMBER, "'n/a'"))
