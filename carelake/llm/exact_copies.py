@@ -5,10 +5,12 @@
 2. *Prefix hash.* Among the rest, rows are counted by length and prefix hash. Pairs of length and prefix that occur once leave.
 3. *Full hash.* A second scan hashes the whole text (SHA-256) of rows in surviving groups only. Rows of equal length and hash are equal texts.
 
-The surviving groups reach the second scan as a bitmap of ``2 ** bits`` bits in rows of 4 KB, so what is broadcast has a fixed size (16 MB by
-default) however many groups there are, and no text is shuffled. A bit that two groups share only means that a text is hashed
-needlessly: its full hash decides. The group sizes are counted by partial aggregation; rows then meet their group's line in one join on the
-hash, where adaptive execution splits a group that holds most rows, and rows that are alone do not take part.
+Surviving lengths and groups reach the next step as a bitmap of ``2 ** bits`` bits in rows of 4 KB, so what is broadcast has a fixed size (16 MB
+by default) however many there are, no text is shuffled, and a length that most rows have meets nobody's task. A bit that two groups share
+only means that a text is hashed needlessly: its full hash decides. 
+
+Group sizes are counted by partial aggregation and written; rows then meet their group's line in one join on the hash, which is a broadcast if the
+groups are few; else adaptive execution splits a group that holds most rows. Rows that are alone do not take part.
 
 Everything is DataFrame functions. ``docs`` is read twice and must give the same rows both times, as a stored table does.
 
@@ -28,25 +30,36 @@ BITS = 27
 ROW_BITS = 15  # bits of one row of bitmap_construct_agg
 
 
-def spot_of(length: str, prefix: str, bits: int) -> Column:
+def spot_of(*columns: str, bits: int) -> Column:
     """The bit of a group."""
-    return F.pmod(F.xxhash64(length, prefix), F.lit(1 << bits))
+    return F.pmod(F.xxhash64(*columns), F.lit(1 << bits))
 
 
-def shared_prefixes(rows: DataFrame, bits: int) -> DataFrame:
-    """Bitmap rows (part, bitmap) of the pairs of length and prefix hash that occur more than once among ``rows`` (length, prefix)."""
-    lengths = rows.groupBy("length").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("length")
-    groups = rows.join(lengths, "length", "left_semi").groupBy("length", "prefix").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    spot = groups.select(spot_of("length", "prefix", bits).alias("spot"))
-    return spot.groupBy(F.shiftright("spot", ROW_BITS).alias("part")).agg(
+def bitmap_of(groups: DataFrame, spot: Column) -> DataFrame:
+    """Rows (part, bitmap) with the bits of all groups."""
+    return groups.select(spot.alias("spot")).groupBy(F.shiftright("spot", ROW_BITS).alias("part")).agg(
         F.bitmap_construct_agg(F.col("spot").bitwiseAND(F.lit((1 << ROW_BITS) - 1))).alias("bitmap")
     )
 
 
-def is_set(bitmap: Column, bit: Column) -> Column:
-    """Whether a bit of a bitmap of ``bitmap_construct_agg`` is set; false where there is no bitmap."""
-    byte = F.conv(F.hex(F.substring(bitmap, F.shiftright(bit, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return F.coalesce(F.getbit(byte, bit.bitwiseAND(F.lit(7)).cast("int")) == 1, F.lit(False))
+def with_mark(rows: DataFrame, bitmap: DataFrame, spot: Column) -> DataFrame:
+    """``rows`` with ``shared``: whether the bit of their group is set."""
+    bit = spot.bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+    byte = F.conv(F.hex(F.substring("bitmap", F.shiftright(bit, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    shared = F.coalesce(F.getbit(byte, bit.bitwiseAND(F.lit(7)).cast("int")) == 1, F.lit(False))
+    found = rows.withColumn("part", F.shiftright(spot, ROW_BITS)).join(F.broadcast(bitmap), "part", "left")
+    return found.withColumn("shared", shared).drop("part", "bitmap")
+
+
+def more_than_one(rows: DataFrame, *keys: str) -> DataFrame:
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*keys)
+
+
+def shared_prefixes(shapes: DataFrame, bits: int) -> DataFrame:
+    """Bitmap of the pairs of length and prefix hash that occur more than once among ``shapes`` (length, prefix)."""
+    lengths = bitmap_of(more_than_one(shapes, "length"), spot_of("length", bits=bits))
+    rest = with_mark(shapes, lengths, spot_of("length", bits=bits)).where("shared")
+    return bitmap_of(more_than_one(rest, "length", "prefix"), spot_of("length", "prefix", bits=bits))
 
 
 def exact_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", digest: bool = False, bits: int = BITS) -> DataFrame:
@@ -58,17 +71,17 @@ def exact_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     shape = [F.octet_length(text).alias("length"), F.xxhash64(F.substring(text, 1, PREFIX)).alias("prefix")]
     survivors = shared_prefixes(written(docs.select(*shape), "shapes"), bits)
 
-    spot = spot_of("length", "prefix", bits)
     rows = docs.select(F.col(id_column).alias("id"), text.alias("whole"), *shape)
-    rows = rows.withColumn("part", F.shiftright(spot, ROW_BITS)).join(F.broadcast(survivors), "part", "left")
-    hashed = F.when(is_set(F.col("bitmap"), spot.bitwiseAND(F.lit((1 << ROW_BITS) - 1))), F.sha2("whole", 256))
+    rows = with_mark(rows, survivors, spot_of("length", "prefix", bits=bits))
+    hashed = F.when(F.col("shared"), F.sha2("whole", 256))
     columns = ["id", "length", hashed.alias("full_hash"), *([F.sha2("whole", 256).alias("text_sha256")] if digest else [])]
     thin = written(rows.select(*columns, F.monotonically_increasing_id().alias("row_no")), "hashed")
 
     place = F.struct("id", "row_no")
-    groups = (
+    groups = written(
         thin.where("full_hash IS NOT NULL").groupBy("full_hash", "length")
-        .agg(F.count(F.lit(1)).alias("n"), F.max(place).alias("last")).where("n > 1")
+        .agg(F.count(F.lit(1)).alias("n"), F.max(place).alias("last")).where("n > 1"),
+        "copies",
     )
     found = thin.where("full_hash IS NOT NULL").join(groups, ["full_hash", "length"], "left")
     alone = thin.where("full_hash IS NULL").withColumns({"n": F.lit(None).cast("long"), "last": F.lit(None).cast(groups.schema["last"].dataType)})
