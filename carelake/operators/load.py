@@ -86,12 +86,17 @@ def row_reasons(table: Table) -> list[Column]:
     return [F.when(broken, F.lit(code)) for broken, code in rules]
 
 
-def with_core_values(staged: DataFrame, table: Table) -> DataFrame:
-    """Staged text under ``STAGED`` names, the core values beside it, and a number for each row."""
-    rows = staged.select(
-        *[F.nullif(F.col(c), F.lit("")).alias(STAGED + c) for c in table.column_names]
-    ).withColumn("row_no", F.monotonically_increasing_id())
-    return rows.withColumns({c.name: core_value(c, table) for c in table.columns})
+def numbered_text(staged: DataFrame, table: Table) -> DataFrame:
+    """Staged text under ``STAGED`` names and a number for each row."""
+    return staged.select(
+        *[F.nullif(F.col(c), F.lit("")).alias(STAGED + c) for c in table.column_names],
+        F.monotonically_increasing_id().alias("row_no"),
+    )
+
+
+def with_core_values(text: DataFrame, table: Table) -> DataFrame:
+    """Numbered text with the core values beside it."""
+    return text.withColumns({c.name: core_value(c, table) for c in table.columns})
 
 
 def key_findings(batch: DataFrame, table: Table, core: Core) -> DataFrame:
@@ -156,7 +161,8 @@ def judge(staged: DataFrame, table: Table, core: Core, check_widths: bool = True
     that dominates.) Reasons are computed from there wherever rows are read; the JSON snapshot is made for rejected rows only.
     """
     count = Observation()
-    batch = written(with_core_values(staged, table).observe(count, F.count(F.lit(1)).alias("rows")), f"staged-{table.name}")
+    batch = written(numbered_text(staged, table).observe(count, F.count(F.lit(1)).alias("rows")), f"staged-{table.name}")
+    batch = with_core_values(batch, table)
     found = written(key_findings(batch, table, core), f"findings-{table.name}")
     kinds = {r.kind for r in found.select("kind").distinct().collect()}  # at most one a rule
 

@@ -6,7 +6,7 @@ import re
 
 from test_load_rules import GOOD
 
-from carelake.operators.load import judge, judged, key_findings, with_core_values
+from carelake.operators.load import judge, judged, key_findings, numbered_text, with_core_values
 from carelake.plans.session import written
 from carelake.schemas import BY_NAME
 from carelake.core import Core
@@ -28,7 +28,8 @@ def test_no_core_table_is_shuffled_for_a_few_claims(spark, staged, tmp_path):
     limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64k")
     try:
-        found = key_findings(written(with_core_values(batch, table), "batch"), table, Core(spark, stored))
+        text = written(numbered_text(batch, table), "batch")
+        found = key_findings(with_core_values(text, table), table, Core(spark, stored))
         plan = found._jdf.queryExecution().executedPlan().toString()
         outcome = {r.outcome for r in judged(batch, table, Core(spark, stored)).collect()}
     finally:
