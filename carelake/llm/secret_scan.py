@@ -47,6 +47,7 @@ LETTER, DIGIT = re.compile(rb"[A-Za-z]"), re.compile(rb"[0-9]")
 REACH = 48
 CONTEXT = 256
 NOVELTY = 0.78
+NEXT_LINE, NEXT_NOVELTY = 4, 0.66  # a run this close behind a reported one has the like in its surroundings: less is new, if it is random
 
 # Identifiers that stand next to secrets in code and configuration, the compressor's dictionary.
 IDENTIFIERS = " ".join("""
@@ -94,27 +95,38 @@ def base_spans(text: bytes, low: bytes) -> list[tuple[int, int, int]]:
 def novel_spans(
     text: bytes, low: bytes, base: list[tuple[int, int, int]], packer: zstandard.ZstdCompressor
 ) -> list[tuple[int, int, int, float]]:
+    """Runs in sensitive context that add much to their surroundings, in one walk over runs, sensitive words and base spans.
+
+    The context of a run is a sensitive word or a reported run up to REACH bytes before it, or a sensitive word up to REACH bytes after it.
+    So a block of lines that begins at a sensitive word is measured line by line to its end.
+    """
     if not any(marker in low for marker in MARKERS):
         return []
-    names = [m.end() for m in SENSITIVE.finditer(text)]
+    names = [m.span() for m in SENSITIVE.finditer(text)]
     if not names:
         return []
     found, covers, reach = [], sorted((s, e) for s, _, e in base), 0
-    at, place, last = 0, 0, -REACH - 1
+    at, ahead, place, last = 0, 0, 0, -REACH - 1
     for run in RUN.finditer(text):
-        while at < len(names) and names[at] <= run.start():
-            last, at = names[at], at + 1
-        while place < len(covers) and covers[place][0] <= run.start():
+        start, end = run.span()
+        while at < len(names) and names[at][1] <= start:
+            last, at = max(last, names[at][1]), at + 1
+        while ahead < len(names) and names[ahead][0] < end:
+            ahead += 1
+        while place < len(covers) and covers[place][0] <= start:
             reach, place = max(reach, covers[place][1]), place + 1
-        if run.start() - last > REACH or run.end() <= reach:
+        follows = ahead < len(names) and names[ahead][0] - end <= REACH
+        if start - last > REACH and not follows:
             continue
-        if any(s < run.end() and run.start() < e for s, e in covers):  # a base span within the run
+        if reach > start or (place < len(covers) and covers[place][0] < end):  # a base span touches the run
             continue
         if not (LETTER.search(run[0]) and DIGIT.search(run[0])):
             continue
-        value = novelty(packer, text, run.start(), run.end())
-        if value >= NOVELTY:
-            found.append((run.start(), 3, run.end(), value))
+        value = novelty(packer, text, start, end)
+        beside = found and start - found[-1][2] <= NEXT_LINE
+        if value >= (NEXT_NOVELTY if beside else NOVELTY):
+            found.append((start, 3, end, value))
+            last = end
     return found
 
 
