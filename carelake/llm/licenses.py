@@ -8,7 +8,8 @@
    within a versioned name, a name within a grant. The rest give the labels; the score is the weight of the best of them.
 5. Base phrases are found word by word, and are never suppressed.
 
-All steps belong to a row, so nothing is shuffled and no key can be hot. Suppression compares the intervals of one text with each other.
+All steps belong to a row, so nothing is shuffled and no key can be hot. Suppression sorts the intervals of a text and walks over them once, so a
+text costs in proportion to its length, however many of them it holds.
 
 Nulls and edges: a null or empty text has no words, no labels and score 0. Repeated rows are scanned one by one. Columns other than the text pass unread;
 ``scanned`` adds one struct column.
@@ -17,8 +18,9 @@ Nulls and edges: a null or empty text has no words, no labels and score 0. Repea
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,6 +31,8 @@ from carelake.llm.license_rules import Rule, rules
 # The base phrases and their labels.
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 BASE_WEIGHT = 0.8
+RANKS = max(r.rank for r in rules())
+CHUNK = 64  # items whose results share a list
 
 # At least one of these stands, lower-cased, in every text that a rule or a base phrase can match.
 GATE = (
@@ -76,46 +80,91 @@ def matched(text: Column, held: Column) -> Column:
     return F.filter(tried, lambda h: F.size(h["matches"]) > 0)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def walked(items: Column, start: Column, carry: Callable[[Column, Column], Column], out: Callable[[Column, Column], Column], kind: str) -> Column:
+    """What ``out`` gives for each item and the state before it (an array of none or one), in one list.
+
+    A list in the state of ``aggregate`` is copied at every step. So the state without a list goes over the items first and is kept for each
+    chunk of CHUNK items; then each chunk makes its own short list, and the cost grows with the number of items, not its square.
+    """
+    none = F.array().cast(f"array<{kind}>")
+
+    def lists(all_items: Column) -> Column:
+        last = ((F.size(all_items) - 1) / CHUNK).cast("int")
+        return let(F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(all_items, i * CHUNK + 1, F.lit(CHUNK))), by_chunk)
+
+    def by_chunk(chunks: Column) -> Column:
+        kept = F.slice(F.array(start), 1, 0)
+        starts = F.aggregate(
+            chunks, F.struct(start.alias("now"), kept.alias("all")),
+            lambda s, chunk: F.struct(F.aggregate(chunk, s["now"], carry).alias("now"), F.concat(s["all"], F.array(s["now"])).alias("all")),
+            lambda s: s["all"],
+        )
+        return F.flatten(F.zip_with(chunks, starts, lambda chunk, first: F.aggregate(
+            chunk, F.struct(first.alias("now"), none.alias("out")),
+            lambda s, x: F.struct(carry(s["now"], x).alias("now"), F.concat(s["out"], out(s["now"], x)).alias("out")),
+            lambda s: s["out"],
+        )))
+
+    return let(items, lambda x: F.when(F.size(x) > 0, lists(x)).otherwise(none))
+
+
 def intervals(text: Column, hit: Column) -> Column:
     """Where a rule matches: the matches, and what stands between them, add up to the places."""
     rule = hit["rule"]
     gaps = F.transform(F.split(text, rule["pattern"], -1), lambda x: F.length(x))
     sizes = F.transform(hit["matches"], lambda m: F.length(m))
-    parts = F.zip_with(gaps, sizes, lambda gap, size: F.struct(gap.alias("gap"), size.alias("size")))
-    none = F.array().cast("array<struct<lo:int,hi:int>>")
-    start = F.struct(F.lit(0).alias("at"), none.alias("found"))
-
-    def step(state: Column, part: Column) -> Column:
-        low = state["at"] + part["gap"]
-        high = low + F.coalesce(part["size"], F.lit(0))
-        own = F.when(part["size"].isNotNull(), F.array(F.struct(low.alias("lo"), high.alias("hi")))).otherwise(none)
-        return F.struct(high.alias("at"), F.concat(state["found"], own).alias("found"))
-
-    places = F.aggregate(parts, start, step, lambda state: state["found"])
+    parts = F.zip_with(F.slice(gaps, 1, F.size(hit["matches"])), sizes, lambda gap, size: F.struct(gap.alias("gap"), size.alias("size")))
+    places = walked(
+        parts, F.lit(0), lambda at, part: at + part["gap"] + part["size"],
+        lambda at, part: F.array(F.struct((at + part["gap"]).alias("lo"), (at + part["gap"] + part["size"]).alias("hi"))),
+        "struct<lo:int,hi:int>",
+    )
     return F.transform(places, lambda p: F.struct(
         p["lo"].alias("lo"), p["hi"].alias("hi"), rule["rank"].alias("rank"),
         rule["label"].alias("label"), rule["weight"].alias("weight"),
     ))
 
 
-def suppressed(x: Column, y: Column) -> Column:
-    """Whether ``x`` lies inside ``y`` and gives way to it."""
-    inside = (y["lo"] <= x["lo"]) & (x["hi"] <= y["hi"])
-    longer = (y["hi"] - y["lo"]) > (x["hi"] - x["lo"])
-    return inside & ((y["rank"] < x["rank"]) | ((y["rank"] == x["rank"]) & longer))
+def unsuppressed(found: Column) -> Column:
+    """The intervals that none of stronger rank, and no longer one of their own rank, contains.
+
+    By start, the longer first and the stronger first among equals, whatever contains an interval comes before it. So one walk does it, which
+    carries for each rank the furthest end so far and the earliest start that reached it.
+    """
+    order = F.array_sort(F.transform(found, lambda x: F.struct(
+        x["lo"].alias("lo"), (-x["hi"]).alias("back"), x["rank"].alias("rank"), x["label"].alias("label"), x["weight"].alias("weight"),
+    )))
+    kind = "struct<lo:int,hi:int,rank:int,label:string,weight:double>"
+    nothing = F.struct(F.lit(-1).alias("hi"), F.lit(-1).alias("lo"))
+
+    def carry(ends: Column, x: Column) -> Column:
+        here = F.struct((-x["back"]).alias("hi"), x["lo"].alias("lo"))
+        return F.transform(ends, lambda e, i: F.when((i == x["rank"]) & (-x["back"] > e["hi"]), here).otherwise(e))
+
+    def out(ends: Column, x: Column) -> Column:
+        low, high, own = x["lo"], -x["back"], ends[x["rank"]]
+        stronger = F.exists(F.slice(ends, 1, x["rank"]), lambda e: e["hi"] >= high)
+        longer = (own["hi"] > high) | ((own["hi"] == high) & (own["lo"] < low))
+        value = F.struct(low.alias("lo"), high.alias("hi"), x["rank"].alias("rank"), x["label"].alias("label"), x["weight"].alias("weight"))
+        return F.when(stronger | longer, F.array().cast(f"array<{kind}>")).otherwise(F.array(value))
+
+    return walked(order, F.array_repeat(nothing, RANKS + 1), carry, out, kind)
 
 
 def places(words: Column, phrase: str) -> Column:
-    """Word places, from 0, at which the phrase begins."""
-    first, *rest = phrase.split(" ")
+    """Word places, from 0, at which the phrase begins. Each word stands beside those that follow it, so a place is one comparison."""
+    parts = phrase.split(" ")
+    beside = F.arrays_zip(*(F.slice(words, k + 1, F.size(words)).alias(f"w{k}") for k in range(len(parts))))
 
-    def here(word: Column, i: Column) -> Column:
-        fits = word == first
-        for k, other in enumerate(rest, 1):
-            fits = fits & (F.get(words, i + k) == other)
-        return F.when(fits, i)
+    def here(x: Column, i: Column) -> Column:
+        return F.when(reduce(and_, (x[f"w{k}"] == part for k, part in enumerate(parts))), i)
 
-    return F.filter(F.transform(words, here), lambda x: x.isNotNull())
+    return F.filter(F.transform(beside, here), lambda x: x.isNotNull())
 
 
 def base_places(norm: Column, words: Column, phrase: str, label: str) -> Column:
@@ -146,8 +195,7 @@ def scanned(docs: DataFrame, text: str = "text", name: str = "licenses") -> Data
     words = F.split(F.trim(norm), " ")
     parts = [base_places(norm, words, phrase, label) for phrase, label in BASE.items()]
     rows = rows.withColumn("base", F.when(F.contains(norm, F.lit(" license ")), F.concat(*parts)))
-    found = F.col("found")
-    kept = F.filter(found, lambda x: ~F.exists(found, lambda y: suppressed(x, y)))
+    kept = F.when(F.size("found") > 0, unsuppressed(F.col("found")))
     rows = rows.withColumn("detections", F.coalesce(kept, F.array().cast("array<struct<lo:int,hi:int,rank:int,label:string,weight:double>>")))
     rows = rows.withColumn("base", F.coalesce("base", F.array().cast("array<struct<label:string,place:bigint>>")))
     base_labels = F.array_sort(F.array_distinct(F.col("base.label")))

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+import time
 
 from carelake.llm import licenses
 from carelake.llm.license_rules import rules
@@ -74,3 +75,16 @@ def test_every_rule_is_gated():
 def test_odd_rows(odd, nothing):
     assert licenses.scanned(odd).where("licenses.score > 0").count() == 0
     assert licenses.scanned(odd).count() == 12 and licenses.scanned(nothing).count() == 0
+
+
+def test_time_grows_with_the_length_only(spark):
+    line = "released under the mit license, apache license version 2.0 or gnu general public license v3. "
+    spent = []
+    for times in (3000, 6000):
+        df = spark.createDataFrame([(line * times,)], "text string")
+        start = time.perf_counter()
+        row = licenses.scanned(df).select(F.size("licenses.detections").alias("n"), F.size("licenses.base").alias("b"), "licenses.labels").first()
+        spent.append(time.perf_counter() - start)
+        assert row.n >= 3 * times and row.b == 3 * times
+    assert spent[1] < 3 * spent[0] + 5 and spent[1] < 60
+    assert check(spark.createDataFrame([(line * 40,)], "text string")) == 1
