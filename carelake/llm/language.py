@@ -149,15 +149,19 @@ def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def sampled(docs: DataFrame, text: str, lang: str, rows_per_language: int, sample_rows: int) -> DataFrame:
-    """The bounded sample: rank by rank over the languages, so that a frequent language does not fill it."""
+    """The bounded sample of distinct labelled texts: rank by rank over the languages, so that a frequent language does not fill it.
+
+    Ranks are given to hashes of texts; the texts themselves are fetched for the chosen hashes only.
+    """
     order = F.xxhash64(F.lit("sample"), F.col(text), F.col(lang))
     rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).alias("lang"), F.col(text).alias("text"), order.alias("order")
     )
-    ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("order", "text")))
-    ranked = ranked.where(F.col("rank") <= rows_per_language)
-    chosen = ranked.orderBy("rank", "lang").limit(sample_rows)
-    return chosen.select("lang", (F.pmod(F.col("order"), F.lit(4)) == 3).alias("calibrate"), utf8("text").alias("text"))
+    ranked = rows.select("lang", "order").distinct().withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("order")))
+    chosen = ranked.where(F.col("rank") <= rows_per_language).orderBy("rank", "lang").limit(sample_rows).select("lang", "order")
+    taken = rows.join(F.broadcast(chosen), ["lang", "order"], "left_semi")  # at most sample_rows hashes
+    texts = taken.groupBy("lang", "order").agg(F.min("text").alias("text"))
+    return texts.select("lang", (F.pmod(F.col("order"), F.lit(4)) == 3).alias("calibrate"), utf8("text").alias("text"))
 
 
 def descend(
