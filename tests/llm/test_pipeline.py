@@ -10,6 +10,7 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -72,6 +73,18 @@ def test_queries_match_their_sql(spark, name):
     assert rows_of(df.columns, df.collect()) == want
 
 
-def test_eleven_queries_are_registered():
+def test_columns_of_any_name_pass_unchanged(spark):
+    names = ["language_", "language", "gone_id", "gone_key", "again_id", "row", "a.b", "text_key", "kept", "key"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("lang = 'en'").limit(40)
+    docs = docs.select("*", *(F.concat(F.lit(f"{n} of "), F.col("doc_id")).alias(n) for n in names))
+    docs = docs.union(docs.limit(3))
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        after = stage(spark, docs, SF)
+        assert after.columns == docs.columns, name
+        rows = after.collect()
+        assert rows and all(row[n] == f"{n} of {row.doc_id}" for row in rows for n in names), name
+
+
+def test_every_query_is_registered():
     names = set(registered.queries())
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in names if n != "pipeline"} == set(range(1, 11)) and "pipeline" in names
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in names if n != "pipeline"} == set(range(1, 14)) and "pipeline" in names
