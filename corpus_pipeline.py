@@ -27,36 +27,41 @@ from carelake.plans.session import scratch_folder
 VOCABULARY, END_ID = "word_bpe_49k.json", 2
 
 
-def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """The documents whose doc_id and text_key are not in ``gone``."""
+def packed(docs: DataFrame, *columns: str) -> DataFrame:
+    """The named columns, and all columns of ``docs`` as one struct ``row``, where no name can clash with a stage's own."""
+    return docs.select(*columns, F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+
+
+def without(docs: DataFrame, gone: DataFrame, how: str = "left_anti") -> DataFrame:
+    """The packed documents whose doc_id and text_key are not in ``gone`` (or, with ``left_semi``, are)."""
     keys = gone.select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key")).distinct()
     same = docs["doc_id"].eqNullSafe(F.col("gone_id")) & (F.xxhash64(docs["text"]) == F.col("gone_key"))
-    return docs.join(keys, same, "left_anti")
+    return docs.join(keys, same, how)
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    found = language.predicted(docs, language.fit(docs), name="language_")
-    return found.where(~F.col("language_.rejected")).select(*docs.columns)
+    rows = packed(docs, "text", "lang")
+    return language.predicted(rows, language.fit(rows)).where(~F.col("language.rejected")).select("row.*")
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    found = near_duplicates.near_duplicates(docs)
-    rest = without(docs, found.where(~F.col("kept")))
+    rows = packed(docs, "doc_id", "text")
+    found = near_duplicates.near_duplicates(rows.select("doc_id", "text"))
+    rest = without(rows, found.where(~F.col("kept")))
     repeated = found.where("kept").groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
     if repeated.isEmpty():
-        return rest
-    again = rest.join(repeated.select(
-        F.col("doc_id").alias("again_id"), F.col("text_key").alias("again_key")
-    ), rest["doc_id"].eqNullSafe(F.col("again_id")) & (F.xxhash64(rest["text"]) == F.col("again_key")), "left_semi")
-    return without(rest, repeated).unionByName(again.dropDuplicates(["doc_id", "text"]))
+        return rest.select("row.*")
+    again = without(rest, repeated, "left_semi").dropDuplicates(["doc_id", "text"])
+    return without(rest, repeated).unionByName(again).select("row.*")
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
+    rows = packed(docs, "doc_id", "text")
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return without(docs, winnowing.contamination(docs, items).where("contaminated"))
+    return without(rows, winnowing.contamination(rows.select("doc_id", "text"), items).where("contaminated")).select("row.*")
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
