@@ -34,5 +34,5 @@ def with_views(body: str, extra: dict[str, str] | None = None) -> str:
 
     for dep in placeholders(body):
         add(dep)
-    ctes = ",\n".join(f"{name} AS ({text})" for name, text in ordered.items())
+    ctes = ",\n".join(f"{name} AS MATERIALIZED ({text})" for name, text in ordered.items())
     return f"WITH {ctes}\nSELECT * FROM ({bind(body)}) result" if ctes else bind(body)

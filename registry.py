@@ -50,13 +50,18 @@ def quarantine_query(name: str, check_widths: bool = False) -> Query:
     return run
 
 
-def loaded_store(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], CoreStore]:
-    """All staged tables loaded into an empty store; every query loads its own."""
-    core = driver_core(spark, sf_dir)
-    staging = {t.name: staged_table(core, t.name) for t in TABLES}
-    store = CoreStore(spark, f"{scratch_folder(spark)}/core-{uuid.uuid4().hex}")
-    load_all(staging, store, LOAD_TIME, check_widths=False)
-    return staging, store
+_loads: dict[tuple[str, str], str] = {}
+
+
+def load_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the load of all staged tables into an empty store logged; the queries of one application share that load."""
+    loaded = (spark.sparkContext.applicationId, sf_dir)
+    if loaded not in _loads:
+        core = driver_core(spark, sf_dir)
+        store = CoreStore(spark, f"{scratch_folder(spark)}/core-{uuid.uuid4().hex}")
+        load_all({t.name: staged_table(core, t.name) for t in TABLES}, store, LOAD_TIME, check_widths=False)
+        _loads[loaded] = store.root
+    return CoreStore(spark, _loads[loaded]).load_log()
 
 
 def delivered(core: Core, name: str, sep: str, quoted: bool) -> str:
@@ -104,19 +109,19 @@ def load_repeated_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load_all_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audits.load_summary(loaded_store(spark, sf_dir)[1].load_log())
+    return audits.load_summary(load_log(spark, sf_dir))
 
 
 def row_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audits.loaded_rows(loaded_store(spark, sf_dir)[1].load_log())
+    return audits.loaded_rows(load_log(spark, sf_dir))
 
 
 def errors_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audits.load_errors(loaded_store(spark, sf_dir)[1].load_log())
+    return audits.load_errors(load_log(spark, sf_dir))
 
 
 def pending_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audits.last_pending(loaded_store(spark, sf_dir)[1].load_log())
+    return audits.last_pending(load_log(spark, sf_dir))
 
 
 # Reports over the clean domain tables, with the fixed driver parameters.
