@@ -14,13 +14,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carelake.core import Core
-from carelake.functions.figures import month_of
 from carelake.functions.text import folded, numbered
 from carelake.operators.dispensing import FOLD_LIMIT, decide
 from carelake.plans.numbering import with_position
 from carelake.plans.session import written
 from carelake.schemas import BY_NAME, CLAIM_STATES, VISIT_TYPES
-from carelake.sources.store import CoreStore, number_of
+from carelake.sources.store import CoreStore, in_months_of, number_of
 
 REVIEW_STATES = ("Approved", "Partially Approved", "Rejected")
 
@@ -77,8 +76,7 @@ def resume(store: CoreStore, batch: str) -> None:
         table, rows = BY_NAME[name], rows_of("added", name)
         stored = store.read(name)
         if table.month_of:
-            months = [r.ym for r in rows.select(month_of(table.month_of).alias("ym")).distinct().collect()]
-            stored = stored.filter(F.col("ym").isin(months))
+            stored = stored.filter(in_months_of(rows, table))
         added[name] = rows.join(stored.select(table.key), table.key, "left_anti")
     apply_rows(store, added, {name: rows_of("changed", name) for name in store.batch_tables(batch, "changed")})
     store.mark_batch(batch, "applied")

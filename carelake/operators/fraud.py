@@ -153,28 +153,21 @@ def abnormal_rx_quantity(core: Core, threshold: float = QUANTITY_LIMIT) -> DataF
 def fraud_summary_by_doctor(core: Core) -> DataFrame:
     """Signals per doctor: inflated procedures, abnormal quantities, rejected claims.
 
-    Every signal is counted per visit or prescription before it looks up its doctor. The
-    three counts are stacked and added up once, so no doctor table is joined three times.
+    Every signal is counted per visit or prescription before it looks up its doctor. Signals of visits are stacked first, so
+    the visits are met once; all counts are then stacked and added up once, so no doctor table is joined three times.
     """
-    doctor_of_visit = core["visit"].select("visit_id", "doctor_id")
-    prices = (
-        inflated(core).groupBy("visit_id").agg(F.count(F.lit(1)).alias("n")).join(doctor_of_visit, "visit_id")
-    )
-    quantities = (
-        abnormal(core).groupBy("prescription_id").agg(F.count(F.lit(1)).alias("n"))
-        .join(core["prescription"].select("prescription_id", "doctor_id"), "prescription_id")
-    )
+    names = ["inflated_procedure_count", "abnormal_prescription_count", "rejected_claims_count"]
+
+    def counted(rows: DataFrame, key: str, name: str) -> DataFrame:
+        return rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).select(key, F.lit(name).alias("signal"), "n")
+
     refused = core["claim_approval"].filter(F.col("approval_status") == "Rejected").select("claim_id")
-    rejections = (
-        core["claim"].select("claim_id", "visit_id").join(refused, "claim_id")
-        .groupBy("visit_id").agg(F.count(F.lit(1)).alias("n"))
-        .join(doctor_of_visit, "visit_id")
+    rejected = core["claim"].select("claim_id", "visit_id").join(refused, "claim_id")
+    of_visits = counted(inflated(core), "visit_id", names[0]).unionByName(counted(rejected, "visit_id", names[2]))
+    of_scripts = counted(abnormal(core), "prescription_id", names[1])
+    stacked = of_visits.join(core["visit"].select("visit_id", "doctor_id"), "visit_id").drop("visit_id").unionByName(
+        of_scripts.join(core["prescription"].select("prescription_id", "doctor_id"), "prescription_id").drop("prescription_id")
     )
-    names = ["inflated_procedure_count", "abnormal_prescription_count", "rejected_claims_count"]
-    stacked = None
-    for name, rows in zip(names, (prices, quantities, rejections)):
-        part = rows.select("doctor_id", F.lit(name).alias("signal"), "n")
-        stacked = part if stacked is None else stacked.unionByName(part)
     per_doctor = stacked.groupBy("doctor_id").agg(
         *[F.sum(F.when(F.col("signal") == name, F.col("n")).otherwise(0)).alias(name) for name in names],
         F.sum("n").alias("total_fraud_signals"),

@@ -473,6 +473,7 @@ TABLES: tuple[Table, ...] = (
         ),
         refs=(CLAIM,),
         uniques=(("claim_id",),),
+        month_of="approval_date",
         numbered="APR",
         file="claim_approvals.csv",
     ),

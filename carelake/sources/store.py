@@ -53,6 +53,14 @@ def number_of(table: Table) -> Column:
     return F.when(F.col(table.key).startswith(table.numbered), parsed(suffix, "bigint"))
 
 
+def in_months_of(rows: DataFrame, table: Table) -> Column:
+    """Whether a stored row lies in a month that ``rows`` have; rows without a date lie together. The months are few and literal, so
+    Spark skips the folders of all others."""
+    months = {r.ym for r in rows.select(month_of(table.month_of).alias("ym")).distinct().collect()}
+    dated = F.col("ym").isin(sorted(months - {None}))
+    return dated | F.col("ym").isNull() if None in months else dated
+
+
 @dataclass
 class Appended:
     """What one append wrote, counted while it was written."""
@@ -165,10 +173,10 @@ class CoreStore:
             rest = stored.join(rows.select(table.key), table.key, "left_anti")
             self.replace(name, rest.unionByName(rows))
             return
-        months = [r.ym for r in rows.select(month_of(table.month_of).alias("ym")).distinct().collect()]
-        if months:
-            rest = stored.filter(F.col("ym").isin(months)).drop("ym").join(rows.select(table.key), table.key, "left_anti")
-            self._write(table, rest.unionByName(rows), self._versions(table)[-1], "overwrite", dynamic=True)
+        if rows.isEmpty():
+            return
+        rest = stored.filter(in_months_of(rows, table)).drop("ym").join(rows.select(table.key), table.key, "left_anti")
+        self._write(table, rest.unionByName(rows), self._versions(table)[-1], "overwrite", dynamic=True)
 
     # Numbers given out
 

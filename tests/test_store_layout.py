@@ -45,6 +45,16 @@ def test_a_review_rewrites_the_months_of_its_claims_only(spark, store, core_of):
     assert store.read("claim_approval").count() == 2
 
 
+def test_approvals_without_a_date_are_stored_and_updated_together(store, core_of):
+    rows = [{**GOOD["claim_approval"], "approval_id": f"APR{i:08d}", "claim_id": f"C{i}", "approval_date": d}
+            for i, d in enumerate(["2025-01-05", "2025-02-05", None, None])]
+    made = core_of({"claim_approval": rows})["claim_approval"]
+    store.append("claim_approval", made)
+    store.update("claim_approval", made.filter("approval_id = 'APR00000002'").withColumn("reviewed_by", F.lit("again")))
+    got = {r.approval_id: (r.reviewed_by == "again", r.ym) for r in store.read("claim_approval").collect()}
+    assert got == {"APR00000000": (False, "2025-01"), "APR00000001": (False, "2025-02"), "APR00000002": (True, None), "APR00000003": (False, None)}
+
+
 def test_a_batch_that_broke_off_is_not_booked_twice(spark, store, core_of, monkeypatch):
     for name in ("drug_inventory", "drug_transaction"):
         store.append(name, core_of({name: [GOOD[name]]})[name])
