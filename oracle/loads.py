@@ -6,6 +6,7 @@ from carelake.functions.text import DECIMAL_PATTERN, PATTERNS
 from carelake.schemas import BY_NAME, TABLES, Col, Table
 from carelake.sources.staging import in_core_text, staged_text
 from oracle.domain import with_views
+from oracle.hand_rules import HAND, hand_judged
 
 
 def read_as(text: str, sql_type: str) -> str:
@@ -71,8 +72,10 @@ def broken(
 def judged_text(table: Table, parents: dict[str, str], own: str | None, check_widths: bool = False) -> str:
     """Core values, staged key, joined reasons, the staged row and whether the key was loaded before.
 
-    One pass: staged text and core values stand side by side in a row under names of their own.
+    One pass: staged text and core values stand side by side in a row under names of their own. The largest tables have rules written by hand.
     """
+    if table.name in HAND and not check_widths:
+        return hand_judged(table.name, parents, own)
     staged = ", ".join(f"nullif({c}, '') AS s_{c}" for c in table.column_names)
     values = ", ".join(f"{value(c, table)} AS t_{c.name}" for c in table.columns)
     codes = ", ".join(
