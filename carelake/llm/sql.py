@@ -110,8 +110,8 @@ covered AS (
     SELECT x.lang, x.p, x.a, x.c, l.a AS l, r.a AS r, n,
            CAST(CAST(1000 AS HUGEINT) * x.a * n // (CAST(l.a AS HUGEINT) * r.a) AS BIGINT) AS score
     FROM (SELECT lang, p, a, k, w, unnest(range(1, k)) AS c FROM phrases) AS x
-    JOIN f AS l ON l.lang = x.lang AND l.p = array_to_string(w[1:c], ' ')
-    JOIN f AS r ON r.lang = x.lang AND r.p = array_to_string(w[c + 1:k], ' ')
+    JOIN f AS l ON l.lang = x.lang AND l.p = array_to_string(x.w[1:x.c], ' ')
+    JOIN f AS r ON r.lang = x.lang AND r.p = array_to_string(x.w[x.c + 1:x.k], ' ')
     JOIN totals ON totals.lang = x.lang
 ), weakest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, c) = 1)
 SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, CAST(p AS BLOB)) AS rank, p AS phrase, a, l, r, n, score
