@@ -27,41 +27,48 @@ from carelake.plans.session import scratch_folder
 VOCABULARY, END_ID = "word_bpe_49k.json", 2
 
 
-def packed(docs: DataFrame, *columns: str) -> DataFrame:
-    """The named columns, and all columns of ``docs`` as one struct ``row``, where no name can clash with a stage's own."""
-    return docs.select(*columns, F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+def packed(docs: DataFrame) -> DataFrame:
+    """All columns of ``docs`` as one struct ``row``, where no name can clash with a stage's own."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
 
 
-def without(docs: DataFrame, gone: DataFrame, how: str = "left_anti") -> DataFrame:
+def named(rows: DataFrame, *columns: str) -> DataFrame:
+    """Columns of packed documents under their names, for an operator that reads these."""
+    return rows.select(*(F.col(f"row.{c}").alias(c) for c in columns))
+
+
+def without(rows: DataFrame, gone: DataFrame, how: str = "left_anti") -> DataFrame:
     """The packed documents whose doc_id and text_key are not in ``gone`` (or, with ``left_semi``, are)."""
     keys = gone.select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key")).distinct()
-    same = docs["doc_id"].eqNullSafe(F.col("gone_id")) & (F.xxhash64(docs["text"]) == F.col("gone_key"))
-    return docs.join(keys, same, how)
+    same = F.col("row.doc_id").eqNullSafe(F.col("gone_id")) & (F.xxhash64("row.text") == F.col("gone_key"))
+    return rows.join(keys, same, how)
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    rows = packed(docs, "text", "lang")
-    return language.predicted(rows, language.fit(rows)).where(~F.col("language.rejected")).select("row.*")
+    rows = packed(docs)
+    found = language.predicted(rows, language.fit(named(rows, "text", "lang")), text="row.text")
+    return found.where(~F.col("language.rejected")).select("row.*")
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    rows = packed(docs, "doc_id", "text")
-    found = near_duplicates.near_duplicates(rows.select("doc_id", "text"))
+    rows = packed(docs)
+    found = near_duplicates.near_duplicates(named(rows, "doc_id", "text"))
     rest = without(rows, found.where(~F.col("kept")))
     repeated = found.where("kept").groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
     if repeated.isEmpty():
         return rest.select("row.*")
-    again = without(rest, repeated, "left_semi").dropDuplicates(["doc_id", "text"])
+    again = without(rest, repeated, "left_semi").select(F.col("row.doc_id").alias("same_id"), F.col("row.text").alias("same_text"), "row")
+    again = again.dropDuplicates(["same_id", "same_text"]).select("row")
     return without(rest, repeated).unionByName(again).select("row.*")
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    rows = packed(docs, "doc_id", "text")
-    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return without(rows, winnowing.contamination(rows.select("doc_id", "text"), items).where("contaminated")).select("row.*")
+    rows, items = packed(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = winnowing.contamination(named(rows, "doc_id", "text"), items)
+    return without(rows, found.where("contaminated")).select("row.*")
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
