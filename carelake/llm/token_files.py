@@ -18,6 +18,7 @@ from __future__ import annotations
 import gc
 import os
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -116,14 +117,13 @@ class WordIds(dict):
                 unknown.append(p)
             else:
                 self[p] = known
-        new = unknown
-        cut = [(p, *self.parts(p)) for p in new]
-        wanted = {core for _, core, _ in cut}
-        wanted.update(end for _, _, end in cut if end)
+        cut = [(p, *self.parts(p)) for p in unknown if not p.isalnum()]
+        cut = [c for c in cut if c[2]]
+        wanted = set(unknown).difference([p for p, _, _ in cut])
+        wanted.update([core for _, core, _ in cut], [end for _, _, end in cut])
         self.encode([p for p in wanted if p not in self])
         for piece, core, end in cut:
-            if end:
-                self[piece] = self[core] + self[end]
+            self[piece] = self[core] + self[end]
 
     def encode(self, new: list[bytes]) -> None:
         """Learn pieces: lower-case words side by side, others with a special token between, those that may hold one alone."""
@@ -157,16 +157,27 @@ class WordIds(dict):
         return unclear
 
     def texts(self, texts: list[bytes]) -> Iterator[bytes]:
-        """Ids of each text. Long lists are taken in slices, so that what is held at once stays bounded."""
+        """Ids of each text. Long lists are taken in slices, so that what is held at once stays bounded.
+
+        The pieces of a slice are numbered by Arrow, so each distinct one is looked up once; Arrow lays the ids out again.
+        """
         for start, end in batches_of(map(len, texts), SLICE_BYTES):
             gc.disable()  # nothing here is cyclic, and each collection would walk the whole memory
             try:
                 split = [self.lowered(t).split() for t in texts[start:end]]
-                self.learn(set().union(*split))
-                found = [b"".join(map(self.__getitem__, pieces)) for pieces in split]
+                numbered = pa.array(chain.from_iterable(split), pa.binary()).dictionary_encode()
+                pieces = numbered.dictionary.to_pylist()
+                self.learn(set(pieces))
+                own = list(map(self.__getitem__, pieces))
             finally:
                 gc.enable()
-            yield from found
+            ends = np.cumsum([0, *map(len, own)]) // 4
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(own), "<u4")))
+            laid = lists.take(numbered.indices)
+            ids = laid.flatten().to_numpy()
+            cuts = laid.offsets.to_numpy()[np.cumsum([0, *map(len, split)])].tolist()
+            for a, b in zip(cuts, cuts[1:]):
+                yield ids[a:b].tobytes()
 
 
 _encoders: dict[str, WordIds] = {}
