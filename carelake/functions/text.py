@@ -56,3 +56,8 @@ def numbered(prefix: str, number: Column, digits: int) -> Column:
     text = number.cast("string")
     zeros = F.repeat(F.lit("0"), F.greatest(F.lit(0), F.lit(digits) - F.length(text)))
     return F.concat(F.lit(prefix), zeros, text)
+
+
+def number_in(column: str, prefix: str) -> Column:
+    """The number in an id of this prefix; NULL for an id of another form."""
+    return F.when(F.col(column).startswith(prefix), parsed(F.substr(F.col(column), F.lit(len(prefix) + 1)), "bigint"))

@@ -14,12 +14,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carelake.core import Core
-from carelake.functions.text import folded, numbered
+from carelake.functions.text import folded, number_in, numbered
 from carelake.operators.dispensing import FOLD_LIMIT, decide
 from carelake.plans.numbering import with_position
 from carelake.plans.session import written
 from carelake.schemas import BY_NAME, CLAIM_STATES, VISIT_TYPES
-from carelake.sources.store import CoreStore, in_months_of, number_of
+from carelake.sources.store import CoreStore, in_months_of
 
 REVIEW_STATES = ("Approved", "Partially Approved", "Rejected")
 
@@ -98,19 +98,23 @@ def spelled(column: str, domain: tuple[str, ...]) -> Column:
     return spellings[folded(column)]
 
 
-def next_ids(rows: DataFrame, order: list[str], core: Core, name: str, digits: int) -> DataFrame:
-    """``rows`` with the key of a table = prefix + (largest number in use + place in the order).
+def next_ids(
+    rows: DataFrame, order: list[str], taken: DataFrame, id_column: str, prefix: str, digits: int, largest: int | None = None
+) -> DataFrame:
+    """``rows`` with ``id_column`` = prefix + (largest number in use + place in the order).
 
-    A store keeps the largest number with the table; elsewhere the keys are looked through.
+    The ids of ``taken`` are looked through for the largest number unless it is given.
     """
-    table, kept = BY_NAME[name], core.largest(name)
-    if kept is None:
-        largest = core[name].select(F.coalesce(F.max(number_of(table)), F.lit(0))).scalar()
-    else:
-        largest = F.lit(kept)
+    used = taken.select(F.coalesce(F.max(number_in(id_column, prefix)), F.lit(0))).scalar() if largest is None else F.lit(largest)
     placed = with_position(rows, *order)
-    placed = placed.withColumn(table.key, numbered(table.numbered, largest + F.col("position"), digits)).drop("position")
-    return written(placed, f"new-{table.key}")
+    placed = placed.withColumn(id_column, numbered(prefix, used + F.col("position"), digits)).drop("position")
+    return written(placed, f"new-{id_column}")
+
+
+def next_keys(rows: DataFrame, order: list[str], core: Core, name: str, digits: int) -> DataFrame:
+    """``rows`` with the next keys of a core table; a store keeps the largest number with the table."""
+    table = BY_NAME[name]
+    return next_ids(rows, order, core[name], table.key, table.numbered, digits, core.largest(name))
 
 
 def folded_keys(commands: DataFrame, *names: str) -> DataFrame:
@@ -161,7 +165,7 @@ def register_visits(core: Core, commands: DataFrame, as_of: date) -> Outcome:
         .drop("has_patient", "has_doctor", "has_department", "has_diagnosis")
     )
     accepted, rejected = split(decided, "register-visits")
-    accepted = next_ids(accepted, ["seq"], core, "visit", 8)
+    accepted = next_keys(accepted, ["seq"], core, "visit", 8)
     visits = accepted.select(
         "visit_id", "patient_id", "hospital_id", "doctor_id", "department_id", F.lit(as_of).alias("visit_date"),
         "visit_type", "diagnosis_code", "symptoms", F.lit("Completed").alias("visit_status"),
@@ -190,7 +194,7 @@ def dispense(core: Core, commands: DataFrame, as_of: date, fold_limit: int = FOL
         )
     )
     accepted, rejected = split(decided, "dispense-decisions")
-    numbered_rows = next_ids(accepted, ["seq"], core, "drug_transaction", 7)
+    numbered_rows = next_keys(accepted, ["seq"], core, "drug_transaction", 7)
     moves = numbered_rows.select(
         "transaction_id", "drug_id", "hospital_id", F.lit("Dispensing").alias("transaction_type"),
         F.col("quantity").cast("int").alias("quantity"), F.lit(as_of).alias("transaction_date"), "performed_by",
@@ -234,14 +238,14 @@ def submit_claims(core: Core, commands: DataFrame, as_of: date) -> Outcome:
     )
     decided = first_wins(written(decided, "submit-checks"), "visit_id", "claim:exists")
     accepted, rejected = split(decided, "submit-decisions")
-    accepted = next_ids(accepted, ["seq"], core, "claim", 8)
+    accepted = next_keys(accepted, ["seq"], core, "claim", 8)
     claims = accepted.select(
         "claim_id", "patient_id", "visit_id", "hospital_id", F.lit(as_of).alias("claim_date"), "claim_amount",
         F.lit(None).cast("decimal(10,2)").alias("approved_amount"), F.lit("Pending Review").alias("claim_status"),
     )
     billed = core["visit_procedure"].select("visit_procedure_id", "visit_id", "procedure_code", "procedure_amount")
     items = accepted.select("seq", "claim_id", "visit_id").join(billed, "visit_id")
-    items = next_ids(items, ["seq", "visit_procedure_id"], core, "claim_item", 9).select(
+    items = next_keys(items, ["seq", "visit_procedure_id"], core, "claim_item", 9).select(
         "claim_item_id", "claim_id", "procedure_code", F.lit(None).cast("string").alias("drug_id"),
         F.col("procedure_amount").alias("item_amount"), F.lit(1).alias("quantity"),
     )
@@ -273,7 +277,7 @@ def review_claims(core: Core, commands: DataFrame, as_of: date) -> Outcome:
     )
     decided = first_wins(written(decided, "review-checks"), "claim_id", "unique:claim_id")
     accepted, rejected = split(decided, "review-decisions")
-    accepted = next_ids(accepted, ["seq"], core, "claim_approval", 8)
+    accepted = next_keys(accepted, ["seq"], core, "claim_approval", 8)
     approvals = accepted.select(
         "approval_id", "claim_id", "reviewed_by", F.col("new_status").alias("approval_status"),
         F.lit(as_of).alias("approval_date"), "rejection_reason",

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from carelake.core import Core
 from carelake.functions.figures import month_of
-from carelake.functions.text import parsed
+from carelake.functions.text import number_in
 from carelake.plans.session import written
 from carelake.schemas import BY_NAME, TABLES, Table
 
@@ -47,12 +47,6 @@ def core_schema(table: Table) -> T.StructType:
     return T.StructType.fromDDL(", ".join(f"{c.name} {c.type}" for c in table.columns))
 
 
-def number_of(table: Table) -> Column:
-    """The number in a key of the form the table gives out; NULL for any other key."""
-    suffix = F.substr(F.col(table.key), F.lit(len(table.numbered) + 1))
-    return F.when(F.col(table.key).startswith(table.numbered), parsed(suffix, "bigint"))
-
-
 def in_months_of(rows: DataFrame, table: Table) -> Column:
     """Whether a stored row lies in a month that ``rows`` have; rows without a date lie together. The months are few and literal, so
     Spark skips the folders of all others."""
@@ -129,7 +123,7 @@ class CoreStore:
             rows = rows.sortWithinPartitions(*(["ym"] if table.month_of else []), lookup)
         seen, measures = Observation(), [F.count(F.lit(1)).alias("rows")]
         if table.numbered:
-            measures.append(F.max(number_of(table)).alias("largest"))
+            measures.append(F.max(number_in(table.key, table.numbered)).alias("largest"))
         writer = rows.observe(seen, *measures).write.mode(mode)
         if lookup:
             writer = writer.options(**{f"parquet.bloom.filter.enabled#{lookup}": "true", "parquet.bloom.filter.adaptive.enabled": "true"})
@@ -192,7 +186,7 @@ class CoreStore:
         kept = [int(m.removeprefix("max-")) for m in markers if m.startswith("max-")]
         if kept and not opened:
             return max(kept)
-        found = self.read(name).agg(F.max(number_of(table))).first()[0] if self._versions(table) else None
+        found = self.read(name).agg(F.max(number_in(table.key, table.numbered))).first()[0] if self._versions(table) else None
         largest = max([found or 0, *kept])
         self._keep_largest(name, largest)
         for marker in opened:

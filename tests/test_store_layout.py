@@ -88,11 +88,9 @@ def test_the_next_number_is_kept_not_sought(spark, store, core_of):
     store.replace("claim", store.read("claim").filter("claim_id <> 'CLM00000800'"))
     assert store.largest("claim") == 800  # a number is given out once
 
-    def unread(name):
-        raise AssertionError("the keys were looked through")
-
-    core = Core(spark, {"claim": lambda: unread("claim")}, store.largest)
-    placed = commands.next_ids(spark.createDataFrame([(2,), (1,)], "seq long"), ["seq"], core, "claim", 8)
+    unread_rows = store.read("claim").withColumn("claim_id", F.expr("CAST(raise_error('looked through') AS STRING)"))
+    core = Core(spark, {"claim": unread_rows}, store.largest)
+    placed = commands.next_keys(spark.createDataFrame([(2,), (1,)], "seq long"), ["seq"], core, "claim", 8)
     assert {r.seq: r.claim_id for r in placed.collect()} == {1: "CLM00000801", 2: "CLM00000802"}
     assert core.replaced(claim=store.read("claim")).largest("claim") is None
 
