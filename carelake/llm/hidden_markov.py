@@ -7,8 +7,8 @@ while counts of single words stay in a table that only Spark joins.
 
 1. *Counts* of all tokens of the training rows: counted per task, then summed per token.
 2. *Baum-Welch*: every pass runs the scaled forward and backward recursions over all training rows; each task sums its expected
-   counts, Spark adds them up, and the driver gets one row per class. The first pass starts from a model fitted to
-   at most ``START_ROWS`` shorter texts, which only breaks the symmetry of the states.
+   counts, Spark adds them up, and the driver gets one row per class. The first pass starts from the counts of all
+   classes with seeded noise, which breaks the symmetry of the states; nothing comes from a sample.
 3. *Scoring*: the scaled forward recursion gives the exact likelihood of the classes; the counts give the rest. A text needs the counts of its
    own words only: texts are dealt into blocks of about ``BLOCK_BYTES``, the distinct words of a block are joined to the count
    table, and a block's texts meet their counts in a cogroup. Nothing that grows with the vocabulary is broadcast.
@@ -37,7 +37,7 @@ from carelake.plans.session import written
 STATES = 6
 CLASSES = 4096
 PASSES = 2
-START_ROWS, START_BYTES, START_PASSES = 300, 20_000, 8
+START_NOISE, START_STAY = 0.5, 0.995
 BLOCK_BYTES = 16 << 20
 SLICE_BYTES = 6 << 20
 TOKENS = 400_000
@@ -172,18 +172,15 @@ def expectation(chain: Chain, sequences: list[np.ndarray], total: Expected) -> N
         total.add(chain, Table.of(sequences[a:b]))
 
 
-def first_chain(sequences: list[np.ndarray], seed: int = 5) -> Chain:
-    """A few passes over a small sample, from states that differ at random."""
+def first_chain(class_tokens: np.ndarray, seed: int = 5) -> Chain:
+    """The share of each class among all training tokens, a little different in each state, so that the first pass can tell them apart.
+
+    States that last long let it sort the texts by kind first; how long they last is learned.
+    """
     random = np.random.default_rng(seed)
-    usual = np.bincount(np.concatenate([*sequences, [0]]), minlength=CLASSES + 1)[:, None] + 0.1
-    noisy = usual * random.lognormal(0, 1, (CLASSES + 1, STATES))
-    move = np.full((STATES, STATES), 0.05 / STATES) + 0.95 * np.eye(STATES)
-    chain = Chain(np.full(STATES, 1 / STATES), move, noisy / noisy.sum(axis=0))
-    for _ in range(START_PASSES if sequences else 0):
-        total = Expected.none()
-        expectation(chain, sequences, total)
-        chain = total.model()
-    return chain
+    noisy = (class_tokens[:, None] + 0.1) * random.lognormal(0, START_NOISE, (CLASSES + 1, STATES))
+    move = np.full((STATES, STATES), (1 - START_STAY) / STATES) + START_STAY * np.eye(STATES)
+    return Chain(np.full(STATES, 1 / STATES), move, noisy / noisy.sum(axis=0))
 
 
 def sequences_of(texts: list[bytes], classes: WordClasses) -> list[np.ndarray]:
@@ -192,13 +189,6 @@ def sequences_of(texts: list[bytes], classes: WordClasses) -> list[np.ndarray]:
     return found
 
 
-def starting_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    classes = WordClasses()
-    for batch in batches:
-        rows = [s.astype("<u2").tobytes() for s in sequences_of(batch.column(0).to_pylist(), classes)]
-        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["classes"])
-
-
 def expected_rows(batches: Iterator[pa.RecordBatch], chain: Chain) -> Iterator[pa.RecordBatch]:
     """Expected counts of a task's texts, one row per class (and per state, and one for the starts)."""
     classes, total, any_rows = WordClasses(), Expected.none(), False
@@ -215,12 +205,10 @@ def expected_rows(batches: Iterator[pa.RecordBatch], chain: Chain) -> Iterator[p
         )
 
 
-def trained(train: DataFrame, text: str, passes: int) -> Chain:
+def trained(train: DataFrame, text: str, passes: int, class_tokens: np.ndarray) -> Chain:
+    """A model of all training rows; ``class_tokens`` are their tokens by class."""
     rows = train.select(utf8(text).alias("text"))
-    order = F.xxhash64("text")
-    small = rows.where(F.octet_length("text") <= START_BYTES).orderBy(order, "text").limit(START_ROWS)
-    first = small.mapInArrow(starting_rows, "classes binary").collect()
-    chain = first_chain([np.frombuffer(r["classes"], "<u2").astype(np.int64) for r in first])
+    chain = first_chain(class_tokens)
     for _ in range(passes):
         parts = rows.mapInArrow(lambda it, chain=chain: expected_rows(it, chain), "place long, counts array<double>")
         sums = [F.sum(F.col("counts")[s]).alias(f"s{s}") for s in range(STATES)]
@@ -326,7 +314,7 @@ def scored(
         class_tokens[row["class"]], class_distinct[row["class"]] = row["n"], row["v"]
     totals = Totals(int(class_tokens.sum()), int(class_distinct.sum()), class_tokens, class_distinct)
     end_count = int(class_tokens[0])
-    chain = trained(train, "text", passes)
+    chain = trained(train, "text", passes, class_tokens)
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks))).repartition("block")

@@ -87,3 +87,18 @@ def test_odd_rows(odd, nothing):
     unknown = hidden_markov.scored(odd, F.lit(True)).collect()
     assert {(r.n_known, r.train_tokens, r.base_score) for r in unknown} == {(0, 0, 0.0)}
     assert hidden_markov.scored(nothing, F.lit(False)).count() == 0
+
+
+def test_texts_longer_than_any_sample_would_hold_are_learned(spark):
+    """Two kinds of long texts: the states tell them apart, which a start from short texts alone could not show them."""
+    draw = np.random.default_rng(1)
+    kinds = [[f"{kind}{i}" for i in range(40)] for kind in ("left", "right")]
+    texts = [" ".join(draw.choice(kinds[i % 2], 4000)) for i in range(24)]
+    classes = hidden_markov.WordClasses()
+    sequences = hidden_markov.sequences_of([t.encode() for t in texts], classes)
+    counts = np.bincount(np.concatenate(sequences), minlength=hidden_markov.CLASSES + 1).astype(float)
+    train = spark.createDataFrame([(t,) for t in texts], "text string")
+    chain = hidden_markov.trained(train, "text", hidden_markov.PASSES, counts)
+    usual = np.log10((counts + 1e-9) / counts.sum())
+    found = hidden_markov.likelihoods(chain, sequences)
+    assert found.sum() > sum(usual[s].sum() for s in sequences) * 0.9
