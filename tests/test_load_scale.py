@@ -105,3 +105,11 @@ def test_dispensing_carries_only_what_it_uses(spark, core_of, monkeypatch):
     assert left == {"DR000": 5, "DR001": 3, "DR002": 5}
     assert not any("source_id" in columns for found in seen.values() for columns in found)
     assert len(seen["changed-drug_inventory"]) == 1  # the changed rows are worked out once
+
+
+def test_the_store_is_written_with_zstd(spark, staged, tmp_path):
+    store = CoreStore(spark, f"{tmp_path}/core")
+    load_all({"diagnosis": staged("diagnosis", [GOOD["diagnosis"], {**GOOD["diagnosis"], "diagnosis_code": None}])}, store, NOW)
+    files = [f"{at}/{f}" for at, _, found in os.walk(tmp_path) for f in found if f.startswith("part")]
+    assert files and all(".zstd." in f for f in files)
+    assert store.read("diagnosis").count() == 1 and store.error_log().count() == 1
