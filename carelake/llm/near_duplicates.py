@@ -30,9 +30,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelake.llm.common import WordHashes, blank_words, gram_hashes, mixed, utf8
+from carelake.llm.common import WordHashes, blank_words, gram_hashes, kept, mixed, utf8
 from carelake.llm.components import components
-from carelake.plans.session import written
+from carelake.plans.session import small_batches, written
 
 PLACES = 1 << 20
 BANDS, ROWS = 24, 4
@@ -42,6 +42,12 @@ BLOCK = 256
 SEED = 3
 
 
+class TextWords(WordHashes):
+    """Few words are remembered: the workers of an executor share its memory with the joins that run beside them."""
+
+    LIMIT = 1 << 16
+
+
 def shingles(text: bytes, size: int, hashes: WordHashes) -> np.ndarray:
     """Sorted distinct shingle hashes of a text."""
     words = hashes.of(blank_words(text))
@@ -79,7 +85,8 @@ SCAN = "doc_id long, text_key long, n_shingles long, set_key binary, buckets arr
 
 
 def scanned(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    hashes = WordHashes()
+    kept("near_duplicates")
+    hashes = TextWords()
     for batch in batches:
         counts, keys, found, signs = [], [], [], []
         for text in batch.column(2).to_pylist():
@@ -89,8 +96,7 @@ def scanned(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordB
             keys.append(None if sign is None else xxhash.xxh3_128_digest(values))
             found.append(None if sign is None else bands(sign))
             signs.append(None if sign is None else sign.astype(np.uint8).tobytes())
-            if len(hashes) > hashes.LIMIT:
-                hashes.trim()
+            hashes.trim()
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(counts, pa.int64()), pa.array(keys, pa.binary()),
              pa.array(found, pa.list_(pa.int64())), pa.array(signs, pa.binary())],
@@ -100,7 +106,7 @@ def scanned(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordB
 
 def confirmed(batches: Iterator[pa.RecordBatch], size: int, part: int, whole: int) -> Iterator[pa.RecordBatch]:
     """Pairs whose full sets reach the threshold. Rows come sorted by u, whose set is made once."""
-    hashes, last, mine = WordHashes(), None, np.empty(0, np.uint64)
+    hashes, last, mine = TextWords(), None, np.empty(0, np.uint64)
     for batch in batches:
         us, vs, texts, others = (batch.column(i) for i in range(4))
         keep = []
@@ -170,7 +176,7 @@ def close_pairs(batches: Iterator[pa.RecordBatch], part: int, whole: int) -> Ite
 
 def linked_pairs(batches: Iterator[pa.RecordBatch], size: int, part: int, whole: int) -> Iterator[pa.RecordBatch]:
     """Per pair of blocks the confirmed links that join components."""
-    hashes = WordHashes()
+    hashes = TextWords()
     for batch in batches:
         for at in range(batch.num_rows):
             row = batch.slice(at, 1).to_pylist()[0]
@@ -263,6 +269,12 @@ def near_duplicates(
     rows = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("text_key"), utf8(text).alias("text")
     )
+    with small_batches(docs.sparkSession):
+        return judged(rows, shingle, part, whole)
+
+
+def judged(rows: DataFrame, shingle: int, part: int, whole: int) -> DataFrame:
+    """``near_duplicates`` of rows of doc_id, text_key and text; what is returned runs no Python any more."""
     scan = written(rows.mapInArrow(lambda it: scanned(it, shingle), SCAN), "signatures")
     classes = scan.where("n_shingles > 0").groupBy("set_key").agg(
         F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "text_key"))).alias("least"),

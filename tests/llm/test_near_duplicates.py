@@ -4,8 +4,10 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from carelake.llm import near_duplicates
+from carelake.plans.session import BATCH_ROWS, small_batches, written
 from llm_support import ordered, table_rows
 
 
@@ -81,3 +83,25 @@ def test_signature_estimates_similarity():
     b = np.concatenate([a[:900], draw.integers(0, 1 << 63, 100).astype(np.uint64)])
     same = (near_duplicates.signature(a) == near_duplicates.signature(b)).mean()
     assert abs(same - 900 / 1100) < 0.15
+
+
+def test_texts_reach_python_in_small_batches(spark, documents, monkeypatch):
+    """Of 10,000 whole texts at a time an executor of 3 GB held too many; the session's own setting stays."""
+    before, seen = spark.conf.get(BATCH_ROWS), []
+    monkeypatch.setattr(near_duplicates, "written", lambda df, *a: seen.append(spark.conf.get(BATCH_ROWS)) or written(df, *a))
+    near_duplicates.near_duplicates(documents)
+    assert seen and max(map(int, seen)) <= 512
+    assert spark.conf.get(BATCH_ROWS) == before
+
+
+def test_batches_are_bounded_in_rows_and_bytes(spark):
+    def counted(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], names=["n", "size"])
+
+    rows = spark.range(0, 3000, 1, 1).selectExpr("id", "repeat('x', IF(id < 200, 100000, 10)) AS text")
+    with small_batches(spark, 512, "1m"):
+        found = rows.mapInArrow(counted, "n long, size long").collect()
+    assert sum(r.n for r in found) == 3000
+    assert max(r.n for r in found) == 512
+    assert max(r["size"] for r in found) < 2 << 20
