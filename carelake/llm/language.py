@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from carelake.llm.common import batches_of, utf8
+from carelake.llm.common import batches_of, kept, utf8
 
 UNKNOWN = "und"
 GRAMS = (2, 3, 4)
@@ -123,6 +123,7 @@ def pieces(text: bytes) -> list[bytes]:
 
 def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct subwords of each piece of each text, with counts."""
+    kept("language")
     for batch in batches:
         out: dict[str, list] = {"lang": [], "calibrate": [], "ids": [], "counts": []}
         for lang, calibrate, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -265,6 +266,7 @@ def predicted(docs: DataFrame, model: LanguageModel, text: str = "text", name: s
 
     @F.arrow_udf("lang_pred string, score double, rejected boolean")
     def judge(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        kept("language")
         own = shared.value
         for column in columns:
             texts = column.to_pylist()

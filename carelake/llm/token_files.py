@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from carelake.llm.common import batches_of, utf8
+from carelake.llm.common import batches_of, kept, utf8
 
 BLOCK_IDS = 1 << 16
 SEGMENT_IDS = 1 << 19
@@ -180,14 +180,12 @@ class WordIds(dict):
                 yield ids[a:b].tobytes()
 
 
-_encoders: dict[str, WordIds] = {}
-
-
 def encoder(path: str) -> WordIds:
-    """One per worker process and vocabulary."""
-    if path not in _encoders:
-        _encoders[path] = WordIds(path)
-    return _encoders[path]
+    """One per worker process and vocabulary, until the worker turns to another operator."""
+    own = kept("token_files")
+    if path not in own:
+        own[path] = WordIds(path)
+    return own[path]
 
 
 def segments(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[pa.RecordBatch]:

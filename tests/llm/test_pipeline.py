@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import weakref
 import zlib
 from collections import Counter
 
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from carelake.llm import language, mixing, registered
+from carelake.llm import language, mixing, near_duplicates, registered, token_files
 from llm_support import SF, table_rows
 from test_near_duplicates import brute as duplicates
 from test_winnowing import brute as contaminated
@@ -88,3 +89,12 @@ def test_columns_of_any_name_pass_unchanged(spark):
 def test_every_query_is_registered():
     names = set(registered.queries())
     assert {int(re.match(r"op(\d+)_", n)[1]) for n in names if n != "pipeline"} == set(range(1, 14)) and "pipeline" in names
+
+
+def test_workers_drop_what_another_operator_kept(documents):
+    """The token files' pieces stayed in each worker, 250 MB of them, beside the memory of all stages that came later."""
+    words = weakref.ref(token_files.encoder(public_tokenizers.path(corpus_pipeline.VOCABULARY)))
+    assert token_files.encoder(public_tokenizers.path(corpus_pipeline.VOCABULARY)) is words()
+    rows = documents.selectExpr("doc_id", "1L AS text_key", "CAST(text AS BINARY) AS text").limit(3).toArrow().to_batches()
+    assert sum(b.num_rows for b in near_duplicates.scanned(iter(rows), 5)) == 3
+    assert words() is None
