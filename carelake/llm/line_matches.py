@@ -10,9 +10,11 @@ sets only the first can stay, and it stays unless its class matches a class whos
    place and a 128-bit parity of the set.
 3. *Join.* Entries are dealt by word and sorted by size. Within a word, a pair is kept if its sizes allow a match (length filter), if
    enough words may follow its places (positional filter), and if its parities differ in no more bits than matching sets can.
-   Each set passes on its ``PARTNERS`` closest partners, and a mark if there were more.
+   Only partners that may be earlier can remove a set (those whose first line has no larger doc_id): each set passes on its
+   ``PARTNERS`` closest of these, and a mark if there were more.
 4. *Verification* of the distinct pairs on the full sets. A set that is marked and not yet removed goes through the join once more without that limit,
-   so nothing is lost; the limit only saves a set with thousands of variants from meeting each of them.
+   so nothing is lost; the limit only saves a set with thousands of variants from meeting each of them. That second join is sent the entries of
+   the open sets' words only, by a bitmap of words.
 
 Nulls and edges: a null or empty text has no lines; a line without words is kept and matches nothing; null doc_ids come first; rows that repeat a
 doc_id are separate, in the order of a hash of their texts, and rows that repeat both share one answer; only the two named columns are read.
@@ -131,16 +133,17 @@ PAIRS = "u long, v long, more boolean"
 
 
 def pairs_of(batches: Iterator[pa.RecordBatch], part: int, whole: int, partners: int) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs of rows (word, n, place, set_key, parity1, parity2, asked) that come sorted by word and n.
+    """Candidate pairs of rows (word, n, place, set_key, parity1, parity2, doc, asked) that come sorted by word and n.
 
-    Rows that may still meet rows of the next batch, the last word's, are carried over; a pair is made by its later row.
+    Rows that may still meet rows of the next batch, the last word's, are carried over; a pair is made by its later row. Of its two
+    sets those are passed on that are asked for and whose partner's document is no later one.
     """
     carried: list[np.ndarray] | None = None
     for batch in batches:
         new = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
         old = 0 if carried is None else len(carried[0])
         columns = new if carried is None else [np.concatenate(x) for x in zip(carried, new, strict=True)]
-        word, n, place, key, p1, p2, asked = columns
+        word, n, place, key, p1, p2, doc, asked = columns
         p1, p2 = p1.view(np.uint64), p2.view(np.uint64)  # bits of a signed number are those of its absolute value
         us, vs, gaps = [], [], []
         active, step = np.arange(len(word)), 0
@@ -163,6 +166,8 @@ def pairs_of(batches: Iterator[pa.RecordBatch], part: int, whole: int, partners:
         u, v, gap = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (us, vs, gaps))
         # Of each row the closest partners, and a mark (a pair with itself) if there were more.
         row, other, gap = np.concatenate([u, v]), np.concatenate([v, u]), np.concatenate([gap, gap])
+        open_ = asked[row] & (doc[other] <= doc[row])
+        row, other, gap = row[open_], other[open_], gap[open_]
         order = np.lexsort((gap, row))
         row, other = row[order], other[order]
         nth = np.arange(len(row)) - np.searchsorted(row, row)
@@ -174,6 +179,24 @@ def pairs_of(batches: Iterator[pa.RecordBatch], part: int, whole: int, partners:
         carried = [c[last] for c in columns]
 
 
+ENTRIES = "word long, place long, n long, set_key long, parity1 long, parity2 long, doc long"
+
+
+def entries_of(batches: Iterator[pa.RecordBatch], wanted: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Prefix words of the sets in rows (prefix, n, set_key, parity1, parity2, doc) that the bitmap ``wanted`` lets through."""
+    for batch in batches:
+        lists = batch.column(0)
+        word, sizes = lists.flatten().to_numpy(), lists.value_lengths().to_numpy()
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        place = np.arange(len(word)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        held = np.flatnonzero(wanted[word % len(wanted)])
+        rest = [c.take(pa.array(row[held])) for c in batch.columns[1:]]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(word[held]), pa.array(place[held]), *rest],
+            names=["word", "place", "n", "set_key", "parity1", "parity2", "doc"],
+        )
+
+
 def full_sets(
     batches: Iterator[pa.RecordBatch], rank: np.ndarray, texts: np.ndarray, wanted: np.ndarray
 ) -> Iterator[pa.RecordBatch]:
@@ -223,17 +246,17 @@ class Matcher:
 
     def candidates(self, asked: DataFrame | None, partners: int) -> DataFrame:
         """Distinct pairs from the join on prefix words; ``asked`` limits one side to some sets."""
-        entries = self.classes.select(
-            F.posexplode("prefix").alias("place", "word"), F.col("n").cast("long").alias("n"), "set_key", "parity1", "parity2"
-        )
+        doc = F.coalesce("first.doc_id", F.lit(-(1 << 63))).alias("doc")
+        of_set = [F.col("n").cast("long").alias("n"), "set_key", "parity1", "parity2", doc]
         if asked is None:
-            entries = entries.withColumn("asked", F.lit(True))
+            entries = self.classes.select(F.posexplode("prefix").alias("place", "word"), *of_set).withColumn("asked", F.lit(True))
         else:
-            marked = asked.withColumn("asked", F.lit(True))
-            words = self.classes.join(asked, "set_key", "left_semi").select(F.explode("prefix").alias("word")).distinct()
-            entries = entries.join(words, "word", "left_semi").join(marked, "set_key", "left")
+            wanted = bits_of(self.classes.join(asked, "set_key", "left_semi").select(F.explode("prefix").alias("word")), "word")
+            rows = self.classes.select("prefix", *of_set)
+            entries = rows.mapInArrow(lambda it: entries_of(it, wanted), ENTRIES)
+            entries = entries.join(asked.withColumn("asked", F.lit(True)), "set_key", "left")
             entries = entries.withColumn("asked", F.coalesce("asked", F.lit(False)))
-        entries = entries.select("word", "n", F.col("place").cast("long").alias("place"), "set_key", "parity1", "parity2", "asked")
+        entries = entries.select("word", "n", F.col("place").cast("long").alias("place"), "set_key", "parity1", "parity2", "doc", "asked")
         dealt = entries.repartition("word").sortWithinPartitions("word", "n")
         part, whole = self.part, self.whole
         found = dealt.mapInArrow(lambda it: pairs_of(it, part, whole, partners), PAIRS)

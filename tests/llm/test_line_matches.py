@@ -34,6 +34,38 @@ def test_variants_of_a_line(spark, monkeypatch):
     assert got == brute(rows)
 
 
+def test_the_first_of_many_variants_is_not_open(spark, monkeypatch):
+    """Only earlier lines remove a line, so heads of large groups of variants must not pull their words through the join again."""
+    rows = []
+    for group in range(20):
+        base = [f"g{group}w{i}" for i in range(40)]
+        rows += [(100 * group + i, " ".join([*base[1:], f"x{group}y{i}"])) for i in range(30)]
+    rounds, first = [], line_matches.Matcher.candidates
+    monkeypatch.setattr(line_matches.Matcher, "candidates", lambda *a: rounds.append(a[1]) or first(*a))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.line): r.removed for r in line_matches.repeated_lines(df).collect()}
+    assert got == brute(rows)
+    assert len(rounds) == 1
+
+
+def test_an_open_set_that_a_far_partner_removes(spark, monkeypatch):
+    """With one partner a word, sets whose closest earlier partner does not match go through the join again."""
+    monkeypatch.setattr(line_matches, "PARTNERS", 1)
+    draw, rows = random.Random(7), [(None, " ".join(f"w{i}" for i in range(40)))]
+    for i in range(200):
+        words = [f"w{i}" for i in range(40)]
+        for _ in range(draw.randrange(2, 12)):
+            words[draw.randrange(40)] = f"x{draw.randrange(200)}"
+        rows.append((draw.randrange(50) * 1000 + i, " ".join(words) + f"\nalone{i}"))
+    rounds, first = [], line_matches.Matcher.candidates
+    monkeypatch.setattr(line_matches.Matcher, "candidates", lambda *a: rounds.append(a[1]) or first(*a))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.line): r.removed for r in line_matches.repeated_lines(df).collect()}
+    want = brute([(-1 if i is None else i, text) for i, text in rows])
+    assert {(-1 if i is None else i, place): gone for (i, place), gone in got.items()} == want
+    assert len(rounds) == 2
+
+
 def test_driver_documents(documents):
     got = {(r.doc_id, r.line): r.removed for r in line_matches.repeated_lines(documents).collect()}
     assert got == brute(table_rows(documents, "doc_id", "text"))
