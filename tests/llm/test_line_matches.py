@@ -1,8 +1,14 @@
 from __future__ import annotations
 
 import random
+from pathlib import Path
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
 
 from carelake.llm import line_matches
+from carelake.plans.session import scratch_folder
 from llm_support import table_rows
 
 
@@ -78,3 +84,53 @@ def test_odd_rows(odd, nothing):
     assert {r.text for r in rows if r.doc_id == 4} == {" \n\t "}
     assert {(r.doc_id, r.n_removed) for r in rows if r.doc_id in (5, 6)} == {(5, 0), (6, 1)}
     assert line_matches.without_repeats(nothing).count() == 0
+
+
+def test_words_of_odd_texts():
+    """Words found in the bytes of many texts at once are those of each line alone, also long ones and ones that hold zeros."""
+    texts = [
+        b"", b"\n\n", b"a\0 a a\0\0", b" One\ttwo\x0bONE\x0c\x1c \r\nthree  ", b"x" * 64 + b" " + b"x" * 65 + b" " + b"x" * 300, b"12345678 123456789 1234567",
+        "ä Ä é\n\nlast".encode(), b"no end\n", b"y" * 64 + b"a " + b"y" * 64 + b"b",
+    ]
+    rank, got = np.zeros(line_matches.COUNTERS, np.uint64), {}
+    for owners, places, keys, starts, sizes in line_matches.line_sets(texts, rank):
+        for owner, place, start, size in zip(owners.tolist(), places.tolist(), starts.tolist(), sizes.tolist(), strict=True):
+            got[owner, place] = frozenset(keys[start : start + size].tolist())
+    want = {(i, j): frozenset(line.split()) for i, t in enumerate(texts) for j, line in enumerate(t.lower().split(b"\n")) if line.split()}
+    assert {at: len(keys) for at, keys in got.items()} == {at: len(line) for at, line in want.items()}
+    for at in want:
+        for other in want:
+            assert len(got[at] & got[other]) == len(want[at] & want[other])
+    words = [word for text in texts for word in text.lower().split()]
+    assert sum(batch.column("n").to_numpy().sum() for batch in counters(texts)) == len(words)
+
+
+def counters(texts):
+    batches = line_matches.counted(iter([pa.RecordBatch.from_arrays([pa.array(texts, pa.binary())], names=["text"])]))
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([batch.column("n").flatten()], names=["n"])
+
+
+def test_sets_too_large_for_the_sort_key(monkeypatch):
+    """Sets beyond the sizes that entries are sorted by come in no order, and every pair is still found."""
+    monkeypatch.setattr(line_matches, "SIZE_BITS", 3)
+    sizes = [5, 6, 12, 9, 11, 100, 10, 90]
+    at = [(77 << 3) | min(n, 7) for n in sizes]
+    entries = [at, [n << 32 | 1 for n in sizes], range(len(sizes)), [0] * 8, [0] * 8, [0] * 8]
+    rows = pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in entries], names=["at", "size", "set_key", "parity1", "parity2", "doc"])
+    for cut in (8, 3, 1):
+        pieces = [rows.slice(i, cut) for i in range(0, 8, cut)]
+        found = pa.Table.from_batches(line_matches.pairs_of(iter(pieces), 80, 100, 1 << 62)).to_pylist()
+        pairs = {tuple(sorted((sizes[r["u"]], sizes[r["v"]]))) for r in found}
+        assert pairs == {(a, b) for a in sizes for b in sizes if a < b and 100 * a >= 80 * b}
+
+
+def test_prefixes_are_stored_once(spark):
+    """The lines are kept without the prefixes once the classes have them."""
+    df = spark.createDataFrame([(1, "a b c\nd e f"), (2, "a b c")], "doc_id long, text string")
+    rows = df.select("doc_id", F.xxhash64("text").alias("text_key"), F.col("text").cast("binary").alias("text"))
+    run = line_matches.Matcher(rows, 80, 100)
+    assert run.lines.columns == ["doc_id", "text_key", "line", "set_key"]
+    folders = [path.name for path in Path(scratch_folder(spark).removeprefix("file:")).iterdir()]
+    assert not [name for name in folders if name.startswith("lines-sets")]
+    assert run.classes.count() == 2
