@@ -18,7 +18,6 @@ from __future__ import annotations
 import gc
 import os
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,13 +26,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from carelake.llm.common import batches_of, kept, utf8
+from carelake.llm.common import BLANK, batches_of, kept, utf8, word_spans
 
 BLOCK_IDS = 1 << 16
 SEGMENT_IDS = 1 << 19
 LEVEL = 1
 SLICE_BYTES = 4 << 20
-MARKS = b"!#$%&()*+,-./:;=?@[]^_{|}~"  # ASCII marks without quotes, which may begin an ending, and without < and >
+MARKS = np.zeros(256, bool)  # ASCII marks without quotes, which may begin an ending, and without < and >
+MARKS[list(b"!#$%&()*+,-./:;=?@[]^_{|}~")] = True
+ALNUM = np.array([c < 128 and chr(c).isalnum() for c in range(256)])
+MARK_RUN = 16
 PLANES = 4
 INDEX_TYPE = "array<struct<n:int,p0:int,p1:int,p2:int,p3:int>>"
 SEGMENT_SCHEMA = (
@@ -68,6 +70,21 @@ def from_planes(index: list[dict], payload: bytes) -> np.ndarray:
     return np.concatenate(blocks) if blocks else np.empty(0, "<u4")
 
 
+def piece_spans(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the pieces of a text: its words, and the ASCII marks at a word's end as a piece of their own.
+
+    The tokenizer always cuts such marks off after an ASCII letter or digit. Words with more than ``MARK_RUN`` of them stay whole.
+    """
+    starts, ends = word_spans(text)
+    at, rows = ends.copy(), np.flatnonzero(MARKS[text[ends - 1]])
+    for _ in range(MARK_RUN):
+        at[rows] -= 1
+        rows = rows[at[rows] > starts[rows]]
+        rows = rows[MARKS[text[at[rows] - 1]]]
+    cuts = at[(at < ends) & (at > starts) & ALNUM[text[at - 1]]]
+    return np.sort(np.concatenate([starts, cuts])), np.sort(np.concatenate([ends, cuts]))
+
+
 class WordIds(dict):
     """Ids of a blank-free piece of text as little-endian 32-bit bytes, remembered up to twice ``LIMIT``.
 
@@ -97,33 +114,19 @@ class WordIds(dict):
         """The tokenizer lower-cases anyway; doing so first halves the pieces. Special tokens keep their case."""
         return text if any(x in text for x in self.opening) else text.lower()
 
-    def parts(self, piece: bytes) -> tuple[bytes, bytes]:
-        """A piece and the ASCII marks at its end, which the tokenizer always cuts off after an ASCII letter or digit."""
-        core = piece.rstrip(MARKS)
-        if core and len(core) < len(piece) and core[-1:].isalnum():
-            return core, piece[len(core) :]
-        return piece, b""
-
-    def learn(self, pieces: set[bytes]) -> None:
+    def learn(self, pieces: list[bytes]) -> None:
         new = [p for p in pieces if p not in self]
         if len(self) + len(new) > self.LIMIT:  # what was not met since the last turn is forgotten
             self.older = dict(self)
             self.clear()
-            new = list(pieces)
-        older, unknown = self.older, []
-        for p in new:
-            known = older.get(p)
+            new = pieces
+        unknown = []
+        for piece, known in zip(new, map(self.older.get, new), strict=True):
             if known is None:
-                unknown.append(p)
+                unknown.append(piece)
             else:
-                self[p] = known
-        cut = [(p, *self.parts(p)) for p in unknown if not p.isalnum()]
-        cut = [c for c in cut if c[2]]
-        wanted = set(unknown).difference([p for p, _, _ in cut])
-        wanted.update([core for _, core, _ in cut], [end for _, _, end in cut])
-        self.encode([p for p in wanted if p not in self])
-        for piece, core, end in cut:
-            self[piece] = self[core] + self[end]
+                self[piece] = known
+        self.encode(unknown)
 
     def encode(self, new: list[bytes]) -> None:
         """Learn pieces: lower-case words side by side, others with a special token between, those that may hold one alone."""
@@ -159,15 +162,19 @@ class WordIds(dict):
     def texts(self, texts: list[bytes]) -> Iterator[bytes]:
         """Ids of each text. Long lists are taken in slices, so that what is held at once stays bounded.
 
-        The pieces of a slice are numbered by Arrow, so each distinct one is looked up once; Arrow lays the ids out again.
+        The pieces of a slice are found in its bytes at once and numbered by Arrow, so each distinct one is looked up once; Arrow
+        lays the ids out again.
         """
         for start, end in batches_of(map(len, texts), SLICE_BYTES):
             gc.disable()  # nothing here is cyclic, and each collection would walk the whole memory
             try:
-                split = [self.lowered(t).split() for t in texts[start:end]]
-                numbered = pa.array(chain.from_iterable(split), pa.binary()).dictionary_encode()
-                pieces = numbered.dictionary.to_pylist()
-                self.learn(set(pieces))
+                joined = np.frombuffer(b"\n".join(map(self.lowered, texts[start:end])), np.uint8)
+                begins, ends = piece_spans(joined)
+                offsets = np.concatenate([[0], np.cumsum(ends - begins)]).astype(np.int32)
+                buffers = [None, pa.py_buffer(offsets), pa.py_buffer(joined[~BLANK[joined]])]
+                numbered = pa.Array.from_buffers(pa.binary(), len(begins), buffers).dictionary_encode()
+                pieces = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
+                self.learn(pieces)
                 own = list(map(self.__getitem__, pieces))
             finally:
                 gc.enable()
@@ -175,7 +182,8 @@ class WordIds(dict):
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(own), "<u4")))
             laid = lists.take(numbered.indices)
             ids = laid.flatten().to_numpy()
-            cuts = laid.offsets.to_numpy()[np.cumsum([0, *map(len, split)])].tolist()
+            at = np.cumsum([0, *(len(t) + 1 for t in texts[start:end])])
+            cuts = laid.offsets.to_numpy()[np.searchsorted(begins, at)].tolist()
             for a, b in zip(cuts, cuts[1:]):
                 yield ids[a:b].tobytes()
 

@@ -52,6 +52,17 @@ def test_forgetting_changes_nothing(monkeypatch):
         assert np.frombuffer(found, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_marks_are_pieces_of_their_own():
+    """A word is remembered once, whatever marks stand behind it."""
+    words = token_files.WordIds(PATH)
+    texts = ["Word. word, WORD!! (word) word- é. . <|x|>. a" + "!" * 40 + "\n", "", "word;"]
+    tokenizer = Tokenizer.from_file(PATH)
+    for text, found in zip(texts, words.texts([t.encode() for t in texts]), strict=True):
+        assert np.frombuffer(found, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert [w for w in words if w.startswith(b"word")] == [b"word"]
+    assert b"." in words and b"," in words
+
+
 def test_odd_rows(spark, odd, nothing):
     for df, n in ((odd, 12), (nothing, 0)):
         path = fresh(spark, "tokens")
